@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylva.llm import grouped_split, packing, proportions
+from sylva.llm import grouped_split, leakage, packing, proportions, tokenize_corpus
 from sylva.session import table, written
 
 _CURRENT = "SELECT DISTINCT ON (accession) * FROM accessions ORDER BY accession, last_update DESC NULLS LAST"
@@ -53,7 +53,34 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_split.assign(rows, grouped_split.components(grouped_split.taxid_ties(rows)), table(spark, sf_dir, "split_targets"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p5_found": p5_found, "p5_splits": p5_splits}
+def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenize_corpus.encode_corpus(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def p6_decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's text from its ids."""
+    return tokenize_corpus.decode_corpus(p6_ids(spark, sf_dir))
+
+
+def _p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.longest_matches(table(spark, sf_dir, "documents", ["doc_id", "text"]), table(spark, sf_dir, "eval_items", ["item_id", "text"]))
+
+
+def p7_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest match of each document with each item, with its places."""
+    return _p7_matches(spark, sf_dir)
+
+
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p7_matches(spark, sf_dir).select("doc_id", "item_id")
+
+
+def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that are left for training."""
+    return leakage.without_leaks(table(spark, sf_dir, "documents"), _p7_matches(spark, sf_dir))
+
+
+QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean}
 ORACLE = {
     "p1_found": """
 WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
