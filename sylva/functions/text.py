@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: White space at the ends of a field, no-break and ideographic spaces included.
-WHITE = r"[\s   -     　]"
+WHITE = r"[\u0009-\u000d\u0020\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
 def strip_white(col: Column | str) -> Column:
