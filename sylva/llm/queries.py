@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sylva.llm import grouped_split, leakage, packing, proportions, tokenize_corpus
+from sylva.llm import garbled, grouped_split, leakage, packing, proportions, tokenize_corpus
 from sylva.session import table, written
 
 _CURRENT = "SELECT DISTINCT ON (accession) * FROM accessions ORDER BY accession, last_update DESC NULLS LAST"
@@ -80,7 +80,16 @@ def p7_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leakage.without_leaks(table(spark, sf_dir, "documents"), _p7_matches(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean}
+def p8_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The garbled documents, with the original text where it can be had."""
+    return garbled.garbled_documents(table(spark, sf_dir, "documents", ["doc_id", "text"]))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_restored(spark, sf_dir).select("doc_id")
+
+
+QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
 ORACLE = {
     "p1_found": """
 WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
