@@ -11,10 +11,11 @@ drawn by hash in each of as many equal strata as windows are wanted.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,11 +34,6 @@ class ProportionParams:
     salts: int = 64
 
 
-def wanted(share: float, size: int) -> int:
-    """target_share x sample_size to the nearest whole number, halves up; the product's own rounding error doesn't count."""
-    return int(np.floor(round(share * size, 6) + 0.5))
-
-
 def swap_repair(available: np.ndarray, target: np.ndarray, floor: np.ndarray, size: int, seed: int) -> np.ndarray:
     """Counts per signature: at most ``available``, at least ``min(floor, available)`` where ``size`` allows, ``min(size, sum(available))``
     in all, with the least possible sum of deviations from ``target``.
@@ -91,7 +87,7 @@ def availability(label_map: DataFrame, targets: DataFrame) -> DataFrame:
 def plan(label_map: DataFrame, requests: DataFrame, targets: DataFrame, params: ProportionParams = ProportionParams()) -> DataFrame:
     """One row per head and signature: ``head_taxid, axis_name, category, target_share, min_windows, available, wanted, short, n_drawn``.
 
-    ``short`` marks targets whose available windows are fewer than the larger of min_windows and the wanted number. A head
+    ``wanted`` is target_share x sample_size to the nearest whole number, halves up (the product's own rounding error doesn't count). ``short`` marks targets whose available windows are fewer than the larger of min_windows and the wanted number. A head
     without request has size 0; a target without classes has 0 available; repeated targets or requests count once (the greatest);
     an empty label_map makes every target with a wanted window short.
     """
@@ -106,23 +102,51 @@ def plan(label_map: DataFrame, requests: DataFrame, targets: DataFrame, params:
         .agg(F.max("target_share").alias("target_share"), F.max("min_windows").alias("min_windows"), F.coalesce(F.sum("available"), F.lit(0)).cast("bigint").alias("available"))
         .join(sizes, "head_taxid", "left")
     )
-    seed = params.seed
-
-    def repair(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("category", kind="stable", na_position="first").reset_index(drop=True)
-        size = rows["sample_size"].max()
-        size = 0 if pd.isna(size) else int(size)
-        share = rows["target_share"].fillna(0.0).to_numpy(float)
-        goal = np.array([wanted(s, size) for s in share], dtype=np.int64)
-        floor = rows["min_windows"].fillna(0).to_numpy(np.int64)
-        available = rows["available"].to_numpy(np.int64)
-        rows["wanted"] = goal
-        rows["short"] = (available < np.maximum(floor, goal)) & (rows["category"] != OTHER).to_numpy()
-        rows["n_drawn"] = swap_repair(available, goal, floor, size, int.from_bytes(hashlib.sha256(f"{seed}|{key[0]}".encode()).digest()[:8], "big"))
-        return rows[["head_taxid", "axis_name", "category", "target_share", "min_windows", "available", "wanted", "short", "n_drawn"]]
-
+    columns = ["head_taxid", "axis_name", "category", "target_share", "min_windows", "available", "sample_size"]
+    ordered = signature.select(*columns).repartition("head_taxid").sortWithinPartitions("head_taxid", "category")
     schema = "head_taxid string, axis_name string, category string, target_share double, min_windows bigint, available bigint, wanted bigint, short boolean, n_drawn bigint"
-    return signature.groupBy("head_taxid").applyInPandas(repair, schema)
+    return ordered.mapInArrow(_repair_heads(params.seed), schema)
+
+
+def _repair_heads(seed: int):
+    """Heads come sorted, so a task repairs one after the other; the last head of a batch waits for the next batch."""
+
+    def heads(rows: pa.Table) -> pa.RecordBatch:
+        name = rows.column("head_taxid").to_pylist()
+        number = lambda c, kind: rows.column(c).to_numpy(zero_copy_only=False) if rows.column(c).null_count == 0 else rows.column(c).fill_null(kind(0)).to_numpy(zero_copy_only=False)
+        share, floor, available, size = number("target_share", float), number("min_windows", int), number("available", int), number("sample_size", int)
+        other = np.array([c == OTHER for c in rows.column("category").to_pylist()], bool)
+        want, drawn = np.zeros(len(name), np.int64), np.zeros(len(name), np.int64)
+        starts = [0, *(i for i in range(1, len(name)) if name[i] != name[i - 1]), len(name)]
+        for a, b in zip(starts, starts[1:], strict=False):
+            n = int(size[a])
+            want[a:b] = np.floor(np.round(share[a:b] * n, 6) + 0.5)
+            key = int.from_bytes(hashlib.sha256(f"{seed}|{name[a]}".encode()).digest()[:8], "big")
+            drawn[a:b] = swap_repair(available[a:b], want[a:b], floor[a:b], n, key)
+        short = (available < np.maximum(floor, want)) & ~other
+        kept = [rows.column(c).combine_chunks() for c in ("head_taxid", "axis_name", "category", "target_share", "min_windows", "available")]
+        kept = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in kept]
+        return pa.RecordBatch.from_arrays([*kept, pa.array(want), pa.array(short), pa.array(drawn)], names=["head_taxid", "axis_name", "category", "target_share", "min_windows", "available", "wanted", "short", "n_drawn"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if held is None else pa.concat_tables([held, rows])
+            name = rows.column("head_taxid")
+            last = name[-1].as_py()
+            cut = rows.num_rows
+            while cut and name[cut - 1].as_py() == last:
+                cut -= 1
+            if cut:
+                yield heads(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None:
+            yield heads(held)
+
+    return run
 
 
 def materialise(label_map: DataFrame, targets: DataFrame, plan_rows: DataFrame, params: ProportionParams = ProportionParams()) -> DataFrame:
