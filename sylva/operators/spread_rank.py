@@ -31,3 +31,15 @@ def spread_running(df: DataFrame, groups: Sequence[str], tie: Sequence[str], wei
     for i, g in enumerate(groups):
         match = match & F.col(g).eqNullSafe(F.col(f"__g{i}"))
     return inside.join(totals, match, "left").withColumn(out, F.col(out) + F.col("__off")).drop("__h", "__salt", "__w", "__s", "__off", *[f"__g{i}" for i in range(len(groups))])
+
+
+def global_place(df: DataFrame, order: str, tie: str, *, top: int = 1 << 48, parts: int = 1024, out: str = "place") -> DataFrame:
+    """Adds ``out``: the row's place, from 0, in the order of ``order`` (a hash in [0, top)), without one task that holds all rows.
+
+    The hash's range is cut to ``parts`` equal parts; a window over their counts, at most ``parts`` rows, gives where each begins.
+    """
+    base = df.withColumn("__part", F.floor(F.col(order) / F.lit(top / parts)).cast("int"))
+    counts = base.groupBy(F.col("__part").alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+    before = counts.withColumn("__off", F.coalesce(F.sum("__n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("__p", "__off")
+    ranked = base.withColumn("__rn", F.row_number().over(Window.partitionBy("__part").orderBy(order, tie)) - 1)
+    return ranked.join(F.broadcast(before), F.col("__part") == F.col("__p")).withColumn(out, F.col("__off") + F.col("__rn")).drop("__part", "__p", "__off", "__rn")
