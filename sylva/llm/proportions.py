@@ -150,7 +150,8 @@ def _repair_heads(seed: int):
 
 
 def materialise(label_map: DataFrame, targets: DataFrame, plan_rows: DataFrame, params: ProportionParams = ProportionParams()) -> DataFrame:
-    """The sampled windows, ``head_taxid, category, class_idx, windows`` with the drawn window numbers of a class in rising order.
+    """The sampled windows, ``head_taxid, category, class_idx, windows`` with the drawn window numbers of a class in rising order,
+    about a million in a row at most (a class with more has several rows).
 
     No window is listed before it is drawn: a class covers the places ``start .. start + n_windows - 1`` of its signature, and
     the strata that reach into it are computed from those. Classes of which nothing is drawn have no row.
@@ -161,10 +162,41 @@ def materialise(label_map: DataFrame, targets: DataFrame, plan_rows: DataFrame,
     classes = classes.join(goal, ["head_taxid", "category"], "left").withColumn("category", F.when(F.col("__t").isNull(), F.lit(OTHER)).otherwise(F.col("category"))).drop("__t")
     placed = spread_running(classes, ["head_taxid", "category"], ["class_idx"], "n_windows", salts=params.salts)
     drawn = placed.join(named.where("n_drawn > 0").drop("__named"), ["head_taxid", "category"])
-    # stratum j covers places floor(j N / x) .. floor((j + 1) N / x) - 1; one place of it is drawn by hash
-    edge = "((cast({} as decimal(38,0)) * available) div n_drawn)"
-    place = f"{edge.format('j')} + pmod(xxhash64({params.seed}, head_taxid, category, j), greatest({edge.format('(j + 1)')} - {edge.format('j')}, 1)) - start"
-    at = "((cast({} as decimal(38,0)) * n_drawn) div available)"
-    strata = f"sequence(greatest({at.format('start')} - 1, 0), least({at.format('(start + n_windows - 1)')} + 1, n_drawn - 1))"
-    windows = F.expr(f"filter(transform({strata}, j -> {place}), p -> p >= 0 and p < n_windows)")
-    return drawn.select("head_taxid", F.when(F.col("category") != OTHER, F.col("category")).alias("category"), "class_idx", windows.alias("windows")).where(F.size("windows") > 0)
+    rows = drawn.select("head_taxid", F.when(F.col("category") != OTHER, F.col("category")).alias("category"), "class_idx", F.xxhash64(F.lit(params.seed), "head_taxid", "category").alias("key"), "start", "n_windows", "available", "n_drawn")
+    return rows.repartition("head_taxid", "class_idx").mapInArrow(_draw, "head_taxid string, category string, class_idx int, windows array<bigint>")
+
+
+#: Strata looked at in one step, which bounds a row of the result.
+STEP = 1 << 20
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """A 64-bit mixer over whole arrays (the finaliser of a public counter-based generator)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stratum j covers the places floor(j N / x) to floor((j + 1) N / x) - 1; one place of each is drawn by hash."""
+    for batch in batches:
+        head, category, index, key, start, size, total, wanted = (batch.column(i).to_pylist() for i in range(8))
+        rows: list[tuple[int, np.ndarray]] = []
+        for i in range(batch.num_rows):
+            n, x, lo, hi = total[i], wanted[i], start[i], start[i] + size[i]
+            first, last = max(lo * x // n - 1, 0), min((hi - 1) * x // n + 1, x - 1)
+            for a in range(first, last + 1, STEP):
+                b = min(a + STEP, last + 1)
+                j = np.arange(a, b + 1, dtype=object if (b + 1) * n >= 1 << 62 else np.int64)
+                edge = (j * n // x).astype(np.int64)
+                with np.errstate(over="ignore"):
+                    h = _mix(np.arange(a, b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key[i] & 0xFFFFFFFFFFFFFFFF))
+                place = edge[:-1] + (h % np.maximum(np.diff(edge), 1).astype(np.uint64)).astype(np.int64)
+                mine = place[(place >= lo) & (place < hi)] - lo
+                if len(mine):
+                    rows.append((i, mine))
+        at = [r[0] for r in rows]
+        offsets = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int32)
+        flat = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.int64)
+        take = lambda v, kind: pa.array([v[i] for i in at], kind)  # noqa: B023, E731
+        yield pa.RecordBatch.from_arrays([take(head, pa.string()), take(category, pa.string()), take(index, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["head_taxid", "category", "class_idx", "windows"])
