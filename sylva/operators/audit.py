@@ -123,9 +123,11 @@ def class_weights(classes: DataFrame, n: str = "n_windows") -> DataFrame:
 
 
 def unique_names(classes: DataFrame) -> DataFrame:
-    """Adds ``label``: the class's name, the second and later classes of a name with their taxid behind it."""
+    """Adds ``label``: the class's name, the second and later classes of a name with their taxid behind it, and those that repeat even that with their index."""
     w = Window.partitionBy("head", "name").orderBy("class_idx", "taxid")
-    return classes.withColumn("label", F.when(F.row_number().over(w) > 1, F.concat("name", F.lit(" ("), "taxid", F.lit(")"))).otherwise(F.col("name")))
+    again = Window.partitionBy("head", "name", "taxid").orderBy("class_idx")
+    longer = F.concat("name", F.lit(" ("), "taxid", F.lit(")"), F.when(F.row_number().over(again) > 1, F.concat(F.lit(" #"), F.col("class_idx").cast("string"))).otherwise(""))
+    return classes.withColumn("label", F.when(F.row_number().over(w) > 1, longer).otherwise(F.col("name")))
 
 
 def label_maps(classes: DataFrame) -> DataFrame:

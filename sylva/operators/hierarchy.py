@@ -105,7 +105,7 @@ def redirect(ids: Column | str, scope: Scope, all_ranks: bool = False) -> Column
     else:
         rules = F.create_map(*[F.lit(x) for pair in sorted(scope.redirections.items()) for x in pair])
     rest = F.slice(a, 2, F.greatest(F.size(a) - 1, F.lit(0)))
-    hit = F.element_at(F.filter(rest, lambda x: F.map_contains_key(rules, x)), 1) if all_ranks else F.when(F.map_contains_key(rules, F.get(a, F.lit(1))), F.get(a, F.lit(1)))
+    hit = F.get(F.filter(rest, lambda x: F.map_contains_key(rules, x)), F.lit(0)) if all_ranks else F.when(F.map_contains_key(rules, F.get(a, F.lit(1))), F.get(a, F.lit(1)))
     target = F.element_at(rules, hit)
     at = F.array_position(a, hit).cast("int")
     inserted = F.concat(F.slice(a, 1, F.greatest(at - 1, F.lit(0))), F.array(target), F.slice(a, at, F.size(a)))

@@ -102,7 +102,8 @@ def cluster_genomes(sketches: DataFrame, group: str, key: str, params: ClusterPa
                 return pd.DataFrame({group: members[group], key: members[key], "cluster": root, "threshold": t})
         return pd.DataFrame(out)[[group, key, "cluster", "threshold"]]
 
-    return classes.groupBy(group).cogroup(pairs.groupBy(group)).applyInPandas(run, schema)
+    other = pairs.select(F.col(group).alias("__g"), "a", "b", "jaccard")
+    return classes.groupBy(group).cogroup(other.groupBy("__g")).applyInPandas(run, schema)
 
 
 def dereplicate(sketches: DataFrame, group: str, key: str, params: ClusterParams = ClusterParams()) -> DataFrame:

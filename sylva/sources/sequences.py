@@ -35,10 +35,10 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return fasta_records(rows.withColumn("no", F.monotonically_increasing_id()), ["file", "at", "no"])
 
 
-def excluded_molecule(name: Column | str) -> Column:
-    """Plasmids are left out of genomes."""
+def excluded_molecule(name: Column | str, word: str = "plasmid") -> Column:
+    """Plasmids (or what else ``word`` names) are left out of genomes."""
     n = F.col(name) if isinstance(name, str) else name
-    return F.coalesce(F.contains(F.lower(n), F.lit("plasmid")), F.lit(False))
+    return F.coalesce(F.contains(F.lower(n), F.lit(word)), F.lit(False))
 
 
 def _line(pattern: str) -> Column:
