@@ -99,7 +99,7 @@ def cluster_genomes(sketches: DataFrame, group: str, key: str, params: ClusterPa
                 parent[rb] = ra
             root = members["rep"].map(find)
             if (root.value_counts() >= need).sum() >= 2:
-                return pd.DataFrame({group: members[group], key: members[key], "cluster": root, "threshold": t})
+                return pd.DataFrame({group: members[group].tolist(), key: members[key].tolist(), "cluster": root.tolist(), "threshold": t})
         return pd.DataFrame(out)[[group, key, "cluster", "threshold"]]
 
     other = pairs.select(F.col(group).alias("__g"), "a", "b", "jaccard")
