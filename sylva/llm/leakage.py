@@ -44,7 +44,8 @@ def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
     order, k = np.argsort(rank, kind="stable"), 1
     while k < depth:
         far = np.zeros(n, np.int64)
-        far[: n - k] = rank[k:]
+        if k < n:
+            far[: n - k] = rank[k:]
         key = rank * (int(rank.max(initial=0)) + 1) + far
         order = np.argsort(key, kind="stable")
         sorted_key = key[order]
