@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sylva.functions.frames import plain
 from sylva.functions.sequence import percent_slice, reverse_complement
 
 
@@ -146,7 +147,7 @@ def noisy_reads(reads: DataFrame, model: ErrorModel, seed: int = 42) -> DataFram
                     if rng.random() < model.insertion:
                         made.append(rng.choice("ACGT"))
                 out.append("".join(made))
-            yield pd.DataFrame({"read_id": pdf["read_id"], "seq": out})
+            yield plain(pd.DataFrame({"read_id": pdf["read_id"].tolist(), "seq": out}))
 
     return reads.select("read_id", "seq").mapInPandas(run, "read_id string, seq string")
 

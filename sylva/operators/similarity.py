@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylva.functions.frames import plain
 from sylva.functions.sketch import ani_bin, ani_proxy, jaccard
 from sylva.session import cut
 
@@ -81,8 +82,8 @@ def cluster_genomes(sketches: DataFrame, group: str, key: str, params: ClusterPa
     classes = sketch_classes(ok, group, key)
     schema = f"{group} string, {key} string, cluster string, threshold double"
 
-    def run(members: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
-        out = {"cluster": [], group: [], key: [], "threshold": []}
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        members, near = rows[rows["jaccard"].isna()], rows[rows["jaccard"].notna()]
         n = len(members)
         need = max(params.min_genomes, math.ceil(params.min_fraction * n))
         for t in schedule:
@@ -99,11 +100,13 @@ def cluster_genomes(sketches: DataFrame, group: str, key: str, params: ClusterPa
                 parent[rb] = ra
             root = members["rep"].map(find)
             if (root.value_counts() >= need).sum() >= 2:
-                return pd.DataFrame({group: members[group].tolist(), key: members[key].tolist(), "cluster": root.tolist(), "threshold": t})
-        return pd.DataFrame(out)[[group, key, "cluster", "threshold"]]
+                return plain(pd.DataFrame({group: members[group].tolist(), key: members[key].tolist(), "cluster": root.tolist(), "threshold": float(t)}))
+        # an unsplit group gives one row that is filtered out: an empty frame doesn't always survive the way back
+        return pd.DataFrame({group: [rows[group].iloc[0]], key: [None], "cluster": [None], "threshold": [None]}, dtype=object).astype({"threshold": float})
 
-    other = pairs.select(F.col(group).alias("__g"), "a", "b", "jaccard")
-    return classes.groupBy(group).cogroup(other.groupBy("__g")).applyInPandas(run, schema)
+    null = lambda kind: F.lit(None).cast(kind)
+    both = classes.select(group, key, "rep", null("string").alias("a"), null("string").alias("b"), null("double").alias("jaccard")).unionByName(pairs.select(group, null("string").alias(key), null("string").alias("rep"), "a", "b", "jaccard"))
+    return both.groupBy(group).applyInPandas(run, schema).where("cluster is not null")
 
 
 def dereplicate(sketches: DataFrame, group: str, key: str, params: ClusterParams = ClusterParams()) -> DataFrame:
@@ -125,7 +128,7 @@ def dereplicate(sketches: DataFrame, group: str, key: str, params: ClusterParams
         kept: dict[str, str] = {}
         for x in sorted(links):
             kept[x] = min((a for a in links[x] if kept[a] == a), default=x)
-        return pd.DataFrame({group: pdf[group].iloc[0], "rep": list(kept), "kept": list(kept.values())})
+        return plain(pd.DataFrame({group: pdf[group].iloc[0], "rep": list(kept), "kept": list(kept.values())}))
 
     chosen = near.groupBy(group).applyInPandas(run, f"{group} string, rep string, kept string")
     return classes.join(chosen, [group, "rep"], "left").select(group, key, F.coalesce("kept", "rep").alias("kept_as"))
