@@ -1,8 +1,8 @@
 """Splits that keep related records together.
 
 Records tie their taxids; a distributed union-find joins ties into groups: every task builds a forest of its own ties, forests
-are merged ``fan_in`` at a time, round by round, and each round passes on at most one tie per node a task has seen. If more than
-``merge_limit`` ties are left before the last round, the rest is contracted by distributed minimum labels instead, so no
+are merged ``fan_in`` at a time, round by round, and each round passes on at most one tie per node a task has seen. Before a round
+would give its tasks more than ``merge_limit`` ties each, the rest is contracted by distributed minimum labels instead, so no
 task ever holds an unbounded forest. Groups are then assigned largest first to the split furthest below its target;
 that order depends only on the sizes, so it runs over the histogram of group sizes (at most sqrt(2 x records) different ones).
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from sylva.functions.text import accession_key, taxid_number
 from sylva.operators.latest import latest
 from sylva.operators.spread_rank import spread_running
-from sylva.session import cut, written
+from sylva.session import cut, shuffle_partitions, written
 
 
 @dataclass(frozen=True)
@@ -80,15 +80,15 @@ def components(ties: DataFrame, params: SplitParams = SplitParams()) -> DataFram
     """
     forest = ties.where("a is not null and b is not null and a <> b").select(F.least("a", "b").cast("bigint").alias("a"), F.greatest("a", "b").cast("bigint").alias("b"))
     schema = "a bigint, b bigint"
-    parts = params.leaves
-    forest = cut(forest.repartition(parts, "a").mapInArrow(local_forest, schema))
+    parts = max(params.leaves, shuffle_partitions(ties.sparkSession))
+    # ties go by both ends, so a node with a third of all ties is many tasks' work; forests later go by the node that is tied
+    forest = cut(forest.repartition(parts, "a", "b").mapInArrow(local_forest, schema))
     while parts > 1:
-        if parts <= params.fan_in and forest.count() > params.merge_limit:
+        parts = math.ceil(parts / params.fan_in)
+        if forest.count() > params.merge_limit * parts:
             forest = _contract(forest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
             break
-        parts = math.ceil(parts / params.fan_in)
-        # a node's ties of all forests meet by its root's part of the hash, coarser with each round
-        forest = cut((forest.repartition(parts, "b") if parts > 1 else forest.coalesce(1)).mapInArrow(local_forest, schema))
+        forest = cut((forest.repartition(parts, "a") if parts > 1 else forest.coalesce(1)).mapInArrow(local_forest, schema))
     forest = forest.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
     return forest.unionByName(forest.select(F.col("root").alias("node"), "root").distinct())
 
