@@ -263,3 +263,17 @@ def test_selection(spark):
     assert {r.label: r.capacity for r in selection.size_proxy(a, lin).collect()} == {"t": 199, "g": 199}
     d = {r.accession: r.download_deferred for r in selection.defer(a, spark.createDataFrame([("a",)], "accession string")).collect()}
     assert d == {"a": False, "b": True, "c": True, "d": False, "e": True}
+
+
+def test_map_groups_with_nulls_ties_and_none(spark):
+    from sylva.operators.by_group import map_groups
+
+    rows = [(k, i % 5, f"n{i}") for i in range(100) for k in (None, "a", f"k{i % 30}")]
+    df = spark.createDataFrame(rows, "k string, v int, name string").withColumn("extra", F.lit(1))
+    out = map_groups(df.repartition(7), ["k"], [F.desc("v"), "name"], ["v", "name"], lambda v, n: [sum(v)] * len(n), "total", "bigint")
+    want = {}
+    for k, v, _ in rows:
+        want[k] = want.get(k, 0) + v
+    got = out.collect()
+    assert len(got) == len(rows) and all(r.total == want[r.k] for r in got)
+    assert map_groups(df.limit(0), ["k"], ["v"], ["v"], lambda v: v, "x", "bigint").count() == 0
