@@ -144,7 +144,10 @@ def assign(rows: DataFrame, groups: DataFrame, targets: DataFrame, params: Split
     its spelling twin that has one. ``targets`` is a small fixed table; shares are scaled to sum to 1, and null or negative ones count 0.
     """
     spark = rows.sparkSession
-    goal = sorted((r["split_name"], max(0.0, float(r["target_share"] or 0))) for r in targets.where("split_name is not null").limit(1000).collect())
+    named_targets = targets.where("split_name is not null").limit(1001).collect()
+    if len(named_targets) > 1000:
+        raise ValueError("at most 1,000 splits")
+    goal = sorted((r["split_name"], max(0.0, float(r["target_share"] or 0))) for r in named_targets)
     goal = sorted(goal, key=lambda x: -x[1])
     if not goal or sum(s for _, s in goal) <= 0:
         raise ValueError("split_targets holds no positive share")

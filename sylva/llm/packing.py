@@ -82,14 +82,17 @@ def batches(bounds: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list
 def pieces(items: DataFrame, containers: DataFrame, params: PackingParams = PackingParams()) -> DataFrame:
     """``container, max_bases, accession, piece, n_pieces, piece_start, piece_length``: whole items, or the cuts of too long ones.
 
-    ``containers`` is a small fixed table (checked: at most 1,000 rows) and broadcast. Items without a positive length
+    ``containers`` is a small fixed table (checked: at most 1,000 rows) that becomes part of the plan. Items without a positive length
     come out with piece_length 0. Containers without a positive capacity are left out.
     """
-    kinds = containers.where("max_bases > 0 and container is not null").groupBy("container").agg(F.max("max_bases").alias("max_bases"))
-    if kinds.limit(1001).count() > 1000:
+    kinds = containers.where("max_bases > 0 and container is not null").groupBy("container").agg(F.max("max_bases").alias("max_bases")).limit(1001).collect()
+    if len(kinds) > 1000:
         raise ValueError("at most 1,000 container types")
+    each = F.array(*[F.struct(F.lit(k["container"]).alias("container"), F.lit(k["max_bases"]).cast("bigint").alias("max_bases")) for k in sorted(kinds)])
+    if not kinds:
+        each = F.array().cast("array<struct<container: string, max_bases: bigint>>")
     length = F.greatest(F.coalesce(F.col("length"), F.lit(0)), F.lit(0))
-    both = items.select("accession", length.alias("length")).join(F.broadcast(kinds))
+    both = items.select("accession", length.alias("length"), F.explode(each).alias("k")).select("accession", "length", "k.*")
     n = F.expr("cast(greatest((length - 1) div max_bases + 1, 1) as int)")
     cut = both.withColumn("n_pieces", n).withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
     start = F.col("piece").cast("bigint") * F.col("max_bases")

@@ -3,7 +3,8 @@
 Windows of a head that agree in their category on the head's axis share a signature, so a head is a handful of
 (signature, available) counts however many windows it has. Categories without a target form one signature with target 0.
 A random floor-satisfying sample is drawn over these counts, then windows of the signature furthest above its target are
-exchanged for windows of the one furthest below, as many at a time as help, until no exchange lowers the deviation. Only then
+exchanged for windows of the one furthest below, as many at a time as help, until no exchange lowers the deviation. A task repairs one head
+after the other and holds the signatures of one head, as many as the head has targets. Only then
 windows are drawn: the window numbers of a signature's classes are laid end to end in hashed order, and one place is
 drawn by hash in each of as many equal strata as windows are wanted.
 """

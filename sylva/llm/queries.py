@@ -12,7 +12,7 @@ _TAXID = "CAST(nullif(regexp_extract({}, '[0-9]+'), '') AS BIGINT)"
 
 
 def _p1_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return tuple(table(spark, sf_dir, t) for t in ("label_map", "sample_requests", "sample_targets"))
+    return table(spark, sf_dir, "label_map"), table(spark, sf_dir, "sample_requests"), table(spark, sf_dir, "sample_targets")
 
 
 def p1_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
