@@ -28,9 +28,9 @@ def select_holdout(eligible_nodes: DataFrame, closure: DataFrame, *, explicit: l
     elif rank:
         of = eligible_nodes.where(F.col("rank") == rank)
         order = hash_order(seed, "node_id")
-        total = F.broadcast(of.agg(F.ceil(F.count(F.lit(1)) * F.lit(fraction)).alias("take")))
+        take = of.agg(F.ceil(F.count(F.lit(1)) * F.lit(fraction)).alias("take")).scalar()
         among = of.withColumn("__k", F.row_number().over(Window.partitionBy("parent_id").orderBy(order, "node_id"))).where("__k < n_siblings")
-        chosen = global_place(among.withColumn("__h", order), "__h", "node_id").join(total).where("place < take").select("node_id")
+        chosen = global_place(among.withColumn("__h", order), "__h", "node_id").where(F.col("place") < take).select("node_id")
     else:
         chosen = eligible_nodes.limit(0).select("node_id")
     inner = closure.where("distance > 0").join(chosen, "node_id", "left_semi").join(chosen.select(F.col("node_id").alias("ancestor")), "ancestor", "left_semi").select("node_id").distinct()

@@ -51,8 +51,8 @@ def p3_per_taxid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = tree_aggregate(_current_taxids(spark, sf_dir), ["taxid"], ["accession"], {"n": ("sum", F.lit(1).cast("bigint"))})
-    total = F.broadcast(counts.agg(F.sum("n").alias("total")))  # one row
-    return counts.join(total).where(F.col("taxid").isNotNull() & (F.col("n") * 100 >= F.col("total"))).select("taxid")
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.where(F.col("taxid").isNotNull() & (F.col("n") * 100 >= total)).select("taxid")
 
 
 _CURRENT = "SELECT DISTINCT ON (accession) * FROM accessions ORDER BY accession, last_update DESC NULLS LAST"
