@@ -51,8 +51,10 @@ def suffix_array(seq: np.ndarray, depth: int) -> np.ndarray:
         sorted_key = key[order]
         new = np.zeros(n, np.int64)
         new[order] = np.cumsum(np.concatenate([[1], sorted_key[1:] != sorted_key[:-1]])) if n else 0
-        new[seq == 0] = 0
-        if n and int(new.max()) == n - int((seq == 0).sum()):
+        separators = seq == 0  # their keys are the least, so the numbers above theirs count the distinct keys of words
+        words = int(new.max(initial=0)) - int(new[separators].max(initial=0))
+        new[separators] = 0
+        if words == n - int(separators.sum()):
             return order
         rank, k = new, k * 2
     return order

@@ -17,6 +17,16 @@ def test_suffix_array_sorts_suffixes():
         assert [s[i:] for i in order] == sorted(s[i:] for i in range(n))
 
 
+def test_suffix_array_sorts_words_up_to_separators():
+    rng = np.random.default_rng(4)
+    for _ in range(3000):
+        seq = np.where(rng.random(n := int(rng.integers(1, 40))) < 0.25, 0, rng.integers(1, 4, n)).astype(np.int32)
+        s = [*seq.tolist(), 0]
+        words = {i: s[i : s.index(0, i)][:13] for i in range(n) if s[i]}
+        order = [words[i] for i in L.suffix_array(seq, 13) if s[i]]
+        assert order == sorted(words.values())
+
+
 def test_words():
     assert L.words_of("A_b-C1 É½x ΟΔΟΣ İźy") == ["a", "b", "c1", "é½x", "οδοσ", "i̇z".replace("̇", "̇"), "y"]
 
