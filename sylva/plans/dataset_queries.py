@@ -221,7 +221,7 @@ def dereplicated(s: SparkSession, d: str) -> DataFrame:
 
 
 def samples(s: SparkSession, d: str) -> DataFrame:
-    t = class_splits(s, d).select(F.col("child").alias("head"), "split", F.lit(0).alias("class_idx"), "header_id", F.least("n", F.lit(20)).alias("n"), "start_pct", "end_pct")
+    t = class_splits(s, d).select(F.col("child").alias("head"), "split", F.lit(0).alias("class_idx"), "header_id", "n", "start_pct", "end_pct")
     return sampling.extract(t, base.sequences(s, d), sampling.DrawParams(10, 20))
 
 
