@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _WORD = re.compile(r"[^\W_]+")
+#: So many places of matches are worked off at a time.
+PLACES = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -81,7 +83,7 @@ class Tests:
         self.starts = self.starts[self.place[self.starts + min_words - 1] == self.place[self.starts] + min_words - 1] if len(self.starts) else self.starts
 
 
-def search(tests: Tests, docs: list[np.ndarray], m: int) -> list[tuple[int, int, int, int, int]]:
+def search(tests: Tests, docs: list[np.ndarray], m: int, places: int = PLACES) -> list[tuple[int, int, int, int, int]]:
     """``(doc, item_id, n_words, doc_from, item_from)``: the maximal matches of at least ``m`` words; doc counts within ``docs``."""
     if not len(tests.starts) or not docs:
         return []
@@ -122,10 +124,10 @@ def search(tests: Tests, docs: list[np.ndarray], m: int) -> list[tuple[int, int,
 
     low, high = bound(False), bound(True)
     n = high - low
-    out: list[tuple[int, int, int, int, int]] = []
+    stretches = []
     some = np.flatnonzero(n)
-    groups = np.split(some, np.searchsorted(np.cumsum(n[some]), np.arange(4_000_000, int(n.sum()) + 1, 4_000_000))) if len(some) else []
-    for g in groups:  # a few million places at a time; matches that reach over such a cut are joined by longest_matches
+    groups = np.split(some, np.searchsorted(np.cumsum(n[some]), np.arange(places, int(n.sum()) + 1, places))) if len(some) else []
+    for g in groups:  # matches that reach over such a cut are joined below
         if not len(g):
             continue
         c = n[g]
@@ -136,10 +138,16 @@ def search(tests: Tests, docs: list[np.ndarray], m: int) -> list[tuple[int, int,
         p, q = p[order], q[order]
         new = np.concatenate([[True], (np.diff(q) != 1) | (np.diff(p) != 1)])
         first = np.flatnonzero(new)
-        size = np.diff(np.append(first, len(p))) + m - 1
-        d = np.searchsorted(doc_start, p[first], side="right") - 1
-        out += zip(d.tolist(), tests.item[q[first]].tolist(), size.tolist(), (p[first] - doc_start[d]).tolist(), tests.place[q[first]].tolist(), strict=True)
-    return out
+        stretches.append((p[first], q[first], np.diff(np.append(first, len(p)))))
+    if not stretches:
+        return []
+    p, q, size = (np.concatenate(x) for x in zip(*stretches, strict=True))
+    order = np.lexsort((q, q - p))
+    p, q, size = p[order], q[order], size[order]
+    first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1] + size[:-1]) | (p[1:] != p[:-1] + size[:-1])]))
+    p, q, size = p[first], q[first], np.add.reduceat(size, first) + m - 1
+    d = np.searchsorted(doc_start, p, side="right") - 1
+    return list(zip(d.tolist(), tests.item[q].tolist(), size.tolist(), (p - doc_start[d]).tolist(), tests.place[q].tolist(), strict=True))
 
 
 def _shards(blocks: list[list[tuple[int, str]]], params: LeakParams):

@@ -45,6 +45,16 @@ def brute(docs, items, m):
     return out
 
 
+def test_matches_are_whole_across_groups_of_places():
+    passage = " ".join(f"w{i}" for i in range(60))
+    tests = L.Tests([(1, passage), (2, "x y z " + passage), (3, "a b " * 10)], 5)
+    docs = [np.array([tests.vocabulary.get(w, 0) for w in t.split()], np.int32) for t in [passage + " none " + passage, "none " + passage, "a b " * 30]]
+    whole = sorted(L.search(tests, docs, 5))
+    assert (1, 1, 60, 1, 0) in whole
+    for places in (1, 7, 100, 333):
+        assert sorted(L.search(tests, docs, 5, places)) == whole
+
+
 def test_against_brute_force(spark):
     rng = random.Random(3)
     vocabulary = ["Alpha", "beta", "gamma", "δ", "42", "x"]
