@@ -15,12 +15,12 @@ def strip_white(col: Column | str) -> Column:
 
 
 def taxid_number(col: Column | str) -> Column:
-    """The number written in a taxid field as BIGINT; null if it holds no digits or more than 18.
+    """The number written in a taxid field as BIGINT; null if it holds no digits or a number beyond BIGINT.
 
     Leading zeros don't count, so ``"0042"``, ``"taxon:42"`` and ``" 42 "`` are the same taxid.
     """
     digits = F.regexp_extract(F.col(col) if isinstance(col, str) else col, r"0*(\d+)", 1)
-    return F.when(F.length(digits).between(1, 18), digits.cast("bigint"))
+    return digits.try_cast("bigint")
 
 
 def accession_key(col: Column | str) -> Column:

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
-import random
-from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sylva.functions.frames import plain
-from sylva.functions.sequence import percent_slice, reverse_complement
+from sylva.functions.sequence import COMPLEMENT, IUPAC, percent_slice
 
 
 @dataclass(frozen=True)
@@ -51,66 +48,147 @@ def window_length(p: DrawParams, available: Column, *ids: Column) -> Column:
     return F.when(top <= p.min_len, top).otherwise(F.lit(p.min_len) + F.pmod(_draw(p, "length", *ids), top - F.lit(p.min_len - 1))).cast("int")
 
 
-def place_windows(tasks: DataFrame, p: DrawParams) -> DataFrame:
-    """One row per window: ``task columns, i, start, len, reverse`` with start counted from 0; ``tasks`` need ``task_id, length, n``.
+def placed_window(p: DrawParams, law: Column, length: Column, n: Column, i: Column, task_id: Column) -> Column:
+    """``STRUCT<start, len>`` of window ``i`` of a tiled task, start counted from 0.
 
     * non_overlapping: one window in each of n equal slots, at a hashed place.
     * flanked: pairs from both ends inwards, with even spacing; an odd one in the middle.
     * contiguous: blocks of max_len one after the other.
-    * bounded_random: hashed places; every second one is the reverse complement of the one before.
     """
-    t = tasks.withColumn("law", strategy("length", "n", p)).where("law is not null").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n").cast("int") - 1)))
-    ids = (F.col("task_id"), F.col("i"))
-    pair = F.when(F.col("law") == "bounded_random", F.floor(F.col("i") / 2).cast("int")).otherwise(F.col("i"))
-    slot = F.floor(F.col("length") / F.col("n")).cast("int")
-    gap = F.greatest(F.lit(0), F.floor((F.col("length") - F.col("n") * p.max_len) / (F.col("n") + 1)).cast("int"))
-    k = F.floor(F.col("i") / 2).cast("int")
-    left, right = k * (gap + p.max_len), F.col("length") - p.max_len - k * (gap + p.max_len)
-    middle = (F.col("n") % 2 == 1) & (F.col("i") == F.col("n") - 1)
-    base = F.when(F.col("law") == "contiguous", F.col("i") * p.max_len).when(middle, F.lit(0)).when(F.col("i") % 2 == 0, left).otherwise(right)
-    available = F.when(F.col("law") == "non_overlapping", slot).when(F.col("law") == "bounded_random", F.col("length")).otherwise(F.col("length") - base)
-    t = t.withColumn("len", window_length(p, available.cast("int"), F.col("task_id"), pair))
-    anywhere = F.pmod(_draw(p, "start", F.col("task_id"), pair), F.greatest(F.col("length") - F.col("len") + 1, F.lit(1)))
-    in_slot = F.col("i") * slot + F.pmod(_draw(p, "start", *ids), F.greatest(slot - F.col("len") + 1, F.lit(1)))
-    centre = F.least(F.greatest(F.lit(0), F.floor(F.col("length") / 2).cast("int") - F.floor(F.col("len") / 2).cast("int")), F.col("length") - F.col("len"))
-    start = F.when(F.col("law") == "non_overlapping", in_slot).when(F.col("law") == "bounded_random", anywhere).when((F.col("law") == "flanked") & middle, centre).otherwise(base)
-    return t.withColumn("start", start.cast("int")).withColumn("reverse", (F.col("law") == "bounded_random") & (F.col("i") % 2 == 1))
-
-
-def extract(tasks: DataFrame, sequences: DataFrame, p: DrawParams, *, unique: bool = True) -> DataFrame:
+    slot = F.floor(length / n).cast("int")
+    step = F.lit(p.max_len) + F.greatest(F.lit(0), F.floor((length - n * p.max_len) / (n + 1)).cast("int"))
+    pair = F.floor(i / 2).cast("int")
+    middle = (law == "flanked") & (n % 2 == 1) & (i == n - 1)
+    base = F.when(law == "contiguous", i * p.max_len).when(middle, F.lit(0)).when(i % 2 == 0, pair * step).otherwise(length - p.max_len - pair * step)
+    available = F.when(law == "non_overlapping", slot).otherwise(length - base)
+    size = window_length(p, available.cast("int"), task_id, i)
+    in_slot = i * slot + F.pmod(_draw(p, "start", task_id, i), F.greatest(slot - size + 1, F.lit(1)))
+    centre = F.least(F.greatest(F.lit(0), F.floor(length / 2).cast("int") - F.floor(size / 2).cast("int")), length - size)
+    start = F.when(law == "non_overlapping", in_slot).when(middle, centre).otherwise(base)
+    return F.struct(start.cast("int").alias("start"), size.alias("len"))
+
+
+#: Windows of a tiled task that are cut in one row: what a row holds is bounded, whatever the task's budget.
+BLOCK = 2048
+#: Draws for each window wanted of a short sequence before it counts as exhausted.
+TRIES = 50
+_COMPLEMENT = str.maketrans(IUPAC, COMPLEMENT)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit mixer over whole arrays (the finaliser of a public counter-based generator)."""
+    with np.errstate(over="ignore"):
+        x = x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        return x ^ (x >> np.uint64(31))
+
+
+def _numbers(key: int, what: int, n: int, first: int = 0) -> np.ndarray:
+    """n 64-bit numbers of the stream ``what`` of a key, from number ``first`` on; the same for the same key, whatever the run."""
+    salt = _mixed(np.array([(key & 0xFFFFFFFFFFFFFFFF) ^ (what << 56)], np.uint64))[0]
+    with np.errstate(over="ignore"):
+        return _mixed(np.arange(first, first + n, dtype=np.uint64) + salt)
+
+
+def unique_windows(seq: str, n: int, p: DrawParams, key: int) -> list[str]:
+    """n different windows at random places, each followed by its reverse complement as long as windows are wanted.
+
+    What came out before is drawn again, at most ``TRIES`` x n times; fewer than n come out only of a sequence that holds hardly more.
+    """
+    made: dict[str, None] = {}
+    at, tries, most = 0, TRIES * n, min(p.max_len, len(seq))
+    while at < tries and len(made) < n:
+        some = min(max(64, n), tries - at)
+        size = (p.min_len + _numbers(key, 1, some, at) % np.uint64(most - p.min_len + 1)).astype(np.int64)
+        start = (_numbers(key, 2, some, at) % (len(seq) - size + 1).astype(np.uint64)).astype(np.int64)
+        at += some
+        for a, b in zip(start.tolist(), (start + size).tolist(), strict=True):
+            w = seq[a:b]
+            made[w] = None
+            if len(made) < n:
+                made["".join([c if c in IUPAC else "N" for c in w])[::-1].translate(_COMPLEMENT)] = None
+            if len(made) >= n:
+                break
+    return list(made)
+
+
+def extract(tasks: DataFrame, sequences: DataFrame, p: DrawParams) -> DataFrame:
     """``tasks(head, split, class_idx, header_id, n, start_pct, end_pct)`` joined with ``sequences(header_id, seq)`` to samples ``head, split, class_idx, header_id, i, seq``.
 
-    Sequences are read in upper case; tasks without a sequence or with too short a slice give none. With ``unique`` a task's equal windows come
-    out once, so short sequences give fewer than n.
+    Sequences are read in upper case; tasks without a sequence or with too short a slice give none. The tiled laws give exactly n windows, equal
+    ones too if the sequence repeats itself; bounded_random gives n different ones, fewer only where the slice is exhausted.
+    All windows of a block of a task are cut in one array, so a sequence isn't copied for each window.
     """
-    j = tasks.where("n > 0").join(sequences.select("header_id", F.upper("seq").alias("__s")), "header_id")
-    j = j.withColumn("__s", percent_slice("__s", F.col("start_pct"), F.col("end_pct"))).withColumn("length", F.length("__s"))
-    j = j.withColumn("task_id", F.concat_ws("|", "head", "split", F.col("class_idx").cast("string"), "header_id", F.col("start_pct").cast("string")))
-    w = place_windows(j, p)
-    cut = F.substr("__s", F.col("start") + 1, F.col("len"))
-    out = w.select("head", "split", "class_idx", "header_id", "task_id", "i", F.when(F.col("reverse"), reverse_complement(cut)).otherwise(cut).alias("seq"))
-    if unique:
-        out = out.groupBy("head", "split", "class_idx", "header_id", "task_id", "seq").agg(F.min("i").alias("i"))
-    return out.select("head", "split", "class_idx", "header_id", "i", "seq")
+    blocks = F.sequence(F.lit(0), F.floor((F.col("n") - 1) / F.lit(BLOCK)).cast("int"))
+    t = tasks.where("n > 0").withColumn("__b", F.explode(blocks))
+    j = t.join(sequences.select("header_id", F.upper("seq").alias("__s")), "header_id")
+    j = j.withColumn("__s", percent_slice("__s", F.col("start_pct"), F.col("end_pct"))).withColumn("__l", F.length("__s")).withColumn("__n", F.col("n").cast("int"))
+    j = j.withColumn("__t", F.concat_ws("|", "head", "split", F.col("class_idx").cast("string"), "header_id", F.col("start_pct").cast("string")))
+    j = j.withColumn("__w", strategy("__l", "n", p)).where(F.col("__w").isNotNull() & ((F.col("__w") != "bounded_random") | (F.col("__b") == 0)))
+
+    @F.pandas_udf("array<string>")
+    def short(seq: pd.Series, n: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([None if s is None else unique_windows(s, int(m), p, int(k)) for s, m, k in zip(seq, n, key, strict=True)], dtype=object)
+
+    def cut(i: Column) -> Column:
+        w = placed_window(p, F.col("__w"), F.col("__l"), F.col("__n"), i, F.col("__t"))
+        return F.substr("__s", w["start"] + 1, w["len"])
+
+    first = F.col("__b") * BLOCK
+    tiled = F.transform(F.sequence(first, F.least(F.col("__n"), first + BLOCK) - 1), cut)
+    j = j.withColumn("__r", short(F.when(F.col("__w") == "bounded_random", F.col("__s")), F.col("n"), _draw(p, "short", F.col("__t"))))
+    ids = ["head", "split", "class_idx", "header_id", "__b"]
+    out = j.select(*ids, F.posexplode(F.when(F.col("__w") == "bounded_random", F.col("__r")).otherwise(tiled)).alias("__i", "seq"))
+    return out.select(*ids[:-1], (F.col("__b") * BLOCK + F.col("__i")).alias("i"), "seq")
+
+
+_BASES = "ACGT"
+
+
+def _codes(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of a text as numbers, and the place of each in the alphabet of bases, -1 for others; both letter cases count."""
+    chars = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    places = np.full(128, -1, np.int64)
+    for i, b in enumerate(_BASES):
+        places[[ord(b), ord(b.lower())]] = i
+    return chars, np.where(chars < 128, places[np.minimum(chars, 127)], -1)
+
+
+def _text(chars: np.ndarray) -> str:
+    return chars.astype(np.uint32).tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def _another(chars: np.ndarray, codes: np.ndarray, draw: np.ndarray) -> np.ndarray:
+    """One of the three other bases for each base, in the letter case of the old one."""
+    bases = np.array([ord(b) for b in _BASES], np.uint32)
+    return bases[(codes + 1 + (draw % np.uint64(3)).astype(np.int64)) % 4] | (chars & np.uint32(0x20))
+
+
+def substituted(text: str, rate: float, key: int) -> str:
+    """round(length x rate) places, drawn without repeats; bases there become one of the three others, other letters stay."""
+    k = min(len(text), round(len(text) * rate))
+    if k <= 0:
+        return text
+    chars, codes = _codes(text)
+    at = np.argsort(_numbers(key, 1, len(chars)), kind="stable")[:k]
+    at = at[codes[at] >= 0]
+    out = chars.copy()
+    out[at] = _another(chars[at], codes[at], _numbers(key, 2, len(chars))[at])
+    return _text(out)
 
 
 def substitute(seq: Column | str, rate: float, seed: int, *ids: Column) -> Column:
-    """A copy with each base replaced, with probability ``rate`` by hash, by one of the three others; letters besides A, C, G, T stay."""
+    """A copy in which round(length x ``rate``) places hold another base; letters besides A, C, G, T stay. Null stays null; ``ids`` seed a row's draw."""
     s = F.col(seq) if isinstance(seq, str) else seq
     if rate <= 0:
         return s
-    h = lambda i: F.xxhash64(F.lit(seed), F.lit("sub"), *ids, i)
-    #: For each base the other three.
-    other = {"A": "CGT", "C": "AGT", "G": "ACT", "T": "ACG"}
 
-    def one(c: Column, i: Column) -> Column:
-        hit = F.pmod(h(i), F.lit(1_000_000)) < int(rate * 1_000_000)
-        alt = F.lit(None).cast("string")
-        for b, o in other.items():
-            alt = F.when(c == b, F.substr(F.lit(o), (F.pmod(F.shiftrightunsigned(h(i), 24), F.lit(3)) + 1).cast("int"), F.lit(1))).otherwise(alt)
-        return F.when(hit, F.coalesce(alt, c)).otherwise(c)
+    @F.pandas_udf("string")
+    def change(text: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else substituted(t, rate, int(k)) for t, k in zip(text, key, strict=True)], dtype=object)
 
-    return F.array_join(F.transform(F.split(s, ""), one), "")
+    return change(s, F.xxhash64(F.lit(seed), F.lit("sub"), *ids))
 
 
 def augment_train(samples: DataFrame, rate: float, seed: int = 42) -> DataFrame:
@@ -120,35 +198,35 @@ def augment_train(samples: DataFrame, rate: float, seed: int = 42) -> DataFrame:
 
 @dataclass(frozen=True)
 class ErrorModel:
-    """Rates per base of a long read; deletions are ``homopolymer_boost`` times as likely inside runs of one base."""
+    """Published rates per base of a long read; insertions and deletions are ``homopolymer_boost`` times as likely where a base repeats the one before it."""
 
     substitution: float = 0.01
-    insertion: float = 0.01
-    deletion: float = 0.01
-    homopolymer_boost: float = 3.0
+    insertion: float = 0.02
+    deletion: float = 0.02
+    homopolymer_boost: float = 2.0
+
+
+def with_errors(text: str, model: ErrorModel, key: int) -> str:
+    """A read with errors, drawn for all its bases at once: what is kept, what it is read as, and what is read behind it."""
+    if not text:
+        return ""
+    chars, codes = _codes(text)
+    n = len(chars)
+    chance = lambda what: _numbers(key, what, n) / 2.0**64
+    boost = np.where(np.concatenate([[False], chars[1:] == chars[:-1]]), model.homopolymer_boost, 1.0)
+    kept = chance(1) >= model.deletion * boost
+    wrong = (codes >= 0) & (chance(2) < model.substitution)
+    two = np.empty((n, 2), np.uint32)
+    two[:, 0] = np.where(wrong, _another(chars, codes, _numbers(key, 3, n)), chars)
+    two[:, 1] = np.array([ord(b) for b in _BASES], np.uint32)[(_numbers(key, 5, n) >> np.uint64(62)).astype(np.int64)]
+    return _text(two[np.stack([kept, kept & (chance(4) < model.insertion * boost)], axis=1)])
 
 
 def noisy_reads(reads: DataFrame, model: ErrorModel, seed: int = 42) -> DataFrame:
-    """``reads(read_id, seq)`` with errors, in Arrow batches; the generator is seeded by the read's id."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for read_id, seq in zip(pdf["read_id"], pdf["seq"], strict=True):
-                rng = random.Random(hashlib.sha256(f"{seed}|{read_id}".encode()).digest())
-                made: list[str] = []
-                for i, base in enumerate(seq or ""):
-                    inside = i > 0 and seq[i - 1] == base
-                    if rng.random() < model.deletion * (model.homopolymer_boost if inside else 1.0):
-                        continue
-                    if rng.random() < model.substitution and base in "ACGT":
-                        base = rng.choice([b for b in "ACGT" if b != base])
-                    made.append(base)
-                    if rng.random() < model.insertion:
-                        made.append(rng.choice("ACGT"))
-                out.append("".join(made))
-            yield plain(pd.DataFrame({"read_id": pdf["read_id"].tolist(), "seq": out}))
-
-    return reads.select("read_id", "seq").mapInPandas(run, "read_id string, seq string")
+    """``reads(read_id, seq)`` with errors, the same in every run; a null read is empty. Letters besides A, C, G, T are never substituted."""
 
+    @F.pandas_udf("string")
+    def change(text: pd.Series, key: pd.Series) -> pd.Series:
+        return pd.Series([with_errors(t or "", model, int(k)) for t, k in zip(text, key, strict=True)], dtype=object)
 
+    return reads.select("read_id", change("seq", F.xxhash64(F.lit(seed), F.lit("read"), "read_id")).alias("seq"))

@@ -185,24 +185,56 @@ def test_similarity(spark):
 
 def test_sampling_laws_and_determinism(spark):
     p = sampling.DrawParams(5, 10)
-    seq = "".join(random.Random(1).choice("ACGT") for _ in range(200))
-    rows = [("h", "train", 0, "long", 8), ("h", "train", 0, "mid", 8), ("h", "val", 0, "short", 6), ("h", "val", 0, "tiny", 3), ("h", "val", 0, "none", 3)]
-    t = spark.createDataFrame(rows, "head string, split string, class_idx int, header_id string, n bigint").withColumns({"start_pct": F.lit(0.0), "end_pct": F.lit(1.0)})
-    s = spark.createDataFrame([("long", seq), ("mid", seq[:100]), ("short", seq[:30].lower()), ("tiny", "ACG")], "header_id string, seq string")
+    rng = random.Random(1)
+    seq = "".join(rng.choice("ACGT") for _ in range(200))
+    rows = [("h", "train", 0, "long", 8), ("h", "train", 0, "mid", 8), ("h", "train", 0, "poly", 8), ("h", "val", 0, "short", 6), ("h", "val", 0, "one", 50), ("h", "val", 0, "tiny", 3), ("h", "val", 0, "none", 3), ("h", "val", 0, "null", 3), ("h", "val", 0, "long", 0)]
+    t = spark.createDataFrame(rows, "head string, split string, class_idx int, header_id string, n bigint").withColumns({"start_pct": F.lit(0.0), "end_pct": F.lit(1.0), "i": F.lit(7)})
+    s = spark.createDataFrame([("long", seq), ("mid", seq[:100]), ("poly", "A" * 200), ("short", seq[:30].lower()), ("one", "C" * 30), ("tiny", "ACG"), ("null", None)], "header_id string, seq string").withColumn("n", F.lit(1))
     a = sorted(map(tuple, sampling.extract(t, s, p).collect()))
     assert a == sorted(map(tuple, sampling.extract(t.repartition(3), s, p).collect()))
-    by = {k: [r for r in a if r[3] == k] for k in ("long", "mid", "short", "tiny")}
-    assert len(by["long"]) == 8 and not by["tiny"] and 0 < len(by["short"]) <= 6
+    by = {k: [r for r in a if r[3] == k] for k in ("long", "mid", "poly", "short", "one", "tiny", "null")}
+    # tiled laws give exactly n, equal windows too; the random one gives different ones, and what an exhausted sequence holds
+    assert [len(by[k]) for k in ("long", "mid", "poly", "short", "tiny", "null")] == [8, 8, 8, 6, 0, 0]
+    assert len({r[5] for r in by["short"]}) == 6 and {r[5] for r in by["one"]} == {b * i for b in "CG" for i in range(5, 11)} and len(by["one"]) == 12
+    assert all(sorted(r[4] for r in rows) == list(range(len(rows))) for rows in by.values())
     rc = str.maketrans("ACGT", "TGCA")
     for k, source in (("long", seq), ("mid", seq[:100]), ("short", seq[:30])):
         assert all(5 <= len(r[5]) <= 10 and (r[5] in source or r[5][::-1].translate(rc) in source) for r in by[k])
     with pytest.raises(ValueError):
         sampling.DrawParams(5, 4)
     more = sampling.augment_train(sampling.extract(t, s, p), 0.5)
-    assert more.where("split = 'train'").count() == 2 * len(by["long"] + by["mid"]) and more.where("split = 'val'").count() == len(by["short"])
+    assert more.where("split = 'train'").count() == 48 and more.where("split = 'val'").count() == 18
+    assert sampling.extract(t.limit(0), s, p).count() == 0
+
+
+def test_large_budgets_are_cut_in_blocks(spark):
+    n = 2 * sampling.BLOCK + 3
+    p = sampling.DrawParams(2, 2)
+    t = spark.createDataFrame([("h", "train", 0, "x", n, 0.0, 1.0), ("h", "train", 1, "x", n, 0.0, 0.3)], "head string, split string, class_idx int, header_id string, n bigint, start_pct double, end_pct double")
+    s = spark.createDataFrame([("x", "ACGT" * n)], "header_id string, seq string")
+    got = sampling.extract(t, s, p).groupBy("class_idx").agg(F.count_distinct("i").alias("n"), F.max("i").alias("m")).collect()
+    assert {r.class_idx: (r.n, r.m) for r in got} == {0: (n, n - 1), 1: (4, 3)}  # a part with four different windows
+
+
+def test_substitutions_and_errors(spark):
+    rng = random.Random(3)
+    seq = "".join(rng.choice("ACGT") for _ in range(2000))
+    for rate in (0.001, 0.05, 1.0):
+        out = sampling.substituted(seq, rate, 9)
+        assert sum(a != b for a, b in zip(seq, out, strict=True)) == round(2000 * rate) and set(out) <= set("ACGT")
+    assert sampling.substituted("NNNé", 1.0, 1) == "NNNé" and sampling.substituted("", 0.5, 1) == "" and sampling.substituted("acgt", 1.0, 1).islower()
+    df = spark.createDataFrame([("a", seq), ("n", None)], "id string, seq string")
+    got = {r.id: r.s for r in df.select("id", sampling.substitute("seq", 0.01, 4, F.col("id")).alias("s")).collect()}
+    assert got["n"] is None and sum(a != b for a, b in zip(seq, got["a"], strict=True)) == 20
     reads = spark.createDataFrame([("r", seq), ("n", None)], "read_id string, seq string")
-    exact = sampling.noisy_reads(reads, sampling.ErrorModel(0, 0, 0)).collect()
-    assert {r.read_id: r.seq for r in exact} == {"r": seq, "n": ""}
+    assert {r.read_id: r.seq for r in sampling.noisy_reads(reads, sampling.ErrorModel(0, 0, 0)).collect()} == {"r": seq, "n": ""}
+    # measured rates: deletions and insertions in runs are boosted alike, substitutions aren't
+    single, runs = "ACGT" * 50_000, "A" * 200_000
+    share = lambda text, **kw: len(sampling.with_errors(text, sampling.ErrorModel(**{"substitution": 0.0, "insertion": 0.0, "deletion": 0.0} | kw), 5)) / len(text) - 1
+    for kind, sign in (("insertion", 1), ("deletion", -1)):
+        assert abs(share(single, **{kind: 0.02}) - sign * 0.02) < 0.002 and abs(share(runs, **{kind: 0.02}) - sign * 0.04) < 0.003
+    changed = sampling.with_errors(single, sampling.ErrorModel(0.01, 0.0, 0.0), 5)
+    assert abs(sum(a != b for a, b in zip(single, changed, strict=True)) / len(single) - 0.01) < 0.001
 
 
 def test_outcomes_and_scores(spark):
