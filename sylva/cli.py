@@ -97,20 +97,23 @@ def _generate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def _discover(spark: SparkSession, a: argparse.Namespace) -> None:
-    found, path = None, f"{a.catalogue}/accession"
+    """Sequences are stored before the accessions that are marked downloaded because of them; known accessions are never overwritten."""
+    found, path, stored = None, f"{a.catalogue}/accession", f"{a.catalogue}/sequence"
     if a.release:
         records = sequences.read_gbff(spark, a.release)
         found = release.report_rows(release.record_reports(records)).withColumn("downloaded", F.lit(True)).withColumn("headers", F.array(F.struct(F.col("accession").alias("id"), F.col("organism").alias("name"))))
-        registry.write_table(sequences.sequence_table(records.select(F.col("accession").alias("header_id"), F.col("sequence").alias("seq"))), f"{a.catalogue}/sequence")
+        fresh = sequences.sequence_table(records.groupBy(F.col("accession").alias("header_id")).agg(F.max("sequence").alias("seq")))
+        if registry.table_exists(spark, stored):  # other releases' sequences stay
+            fresh = audit.merge_manifests(registry.read_table(spark, stored), fresh, "header_id")
+        registry.write_table(fresh, stored)
     if a.reports:
         rows = release.report_rows(release.read_reports(spark, a.reports))
         found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
     if found is None:
         raise SystemExit("give --reports or --release")
-    try:
-        found = registry.merge_new(spark.read.parquet(path), found, "accession")
-    except Exception:  # a new catalogue
-        found = found.dropDuplicates(["accession"])
+    found = found.dropDuplicates(["accession"])
+    if registry.table_exists(spark, path):
+        found = registry.merge_new(registry.read_table(spark, path), found, "accession")
     registry.write_table(found, path)
 
 
@@ -134,7 +137,7 @@ def _benchmark(spark: SparkSession, a: argparse.Namespace) -> None:
         kept = openset.retained_leaves(leaves, closure, spark.read.json(a.manifest).select(F.col("taxid").alias("node_id")))
         openset.reference_lines(kept, seq).write.mode("overwrite").text(a.output)
     elif a.task == "parse-baseline":
-        ranks = openset.rank_map(spark.read.parquet(f"{a.catalogue}/lineage"))
+        ranks = openset.rank_map(registry.read_table(spark, f"{a.catalogue}/lineage"))
         lines = spark.read.text(a.lines).select("value", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"))
         parse = predictions.parse_scored_output if a.kind == "centrifuge" else predictions.parse_status_output
         parse(lines, ranks, "at").write.mode("overwrite").parquet(a.output)

@@ -16,6 +16,7 @@ from sylva.functions.ranks import below
 from sylva.functions.sketch import bottom_k
 from sylva.operators import allocation, audit, bucketing, hierarchy, negatives, openset, sampling, similarity, splitting, windows
 from sylva.session import cut, written
+from sylva.sources.registry import read_table
 
 
 @dataclass(frozen=True)
@@ -283,5 +284,5 @@ def generate(accessions: DataFrame, lineages: DataFrame, sequences: DataFrame, p
 
 
 def catalogue_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``accession, lineage, sequence`` tables of a catalogue kept as Parquet."""
-    return tuple(spark.read.parquet(f"{folder}/{t}") for t in ("accession", "lineage", "sequence"))
+    """The current ``accession, lineage, sequence`` tables of a catalogue."""
+    return tuple(read_table(spark, f"{folder}/{t}") for t in ("accession", "lineage", "sequence"))

@@ -29,9 +29,12 @@ def fasta_records(chunks: DataFrame, order: list[str]) -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """All FASTA files of a folder; records are split by the reader, so a large file is many tasks' work."""
-    raw = spark.read.option("lineSep", ">").option("pathGlobFilter", FASTA_GLOB).option("recursiveFileLookup", True).text(path)
-    rows = raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).where(F.trim("value") != "")
+    """All FASTA files of a folder; records are split by the reader at lines that begin with ``>``, so a large file is many tasks' work.
+
+    A ``>`` inside a description is part of it. Text before a file's first header is read as a record unless it is blank.
+    """
+    raw = spark.read.option("lineSep", "\n>").option("pathGlobFilter", FASTA_GLOB).option("recursiveFileLookup", True).text(path)
+    rows = raw.select(F.regexp_replace("value", r"^\s*>", "").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at")).where(F.trim("value") != "")
     return fasta_records(rows.withColumn("no", F.monotonically_increasing_id()), ["file", "at", "no"])
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sylva import schema
+from sylva.sources.registry import table_exists
 from sylva.sources.release import report_rows
 
 
@@ -17,11 +18,9 @@ def ingest_reports(spark: SparkSession, incoming: str, catalogue: str, checkpoin
 
     def merge(batch: DataFrame, _: int) -> None:
         rows = report_rows(batch.where("organism.tax_id is not null and accession is not null")).dropDuplicates(["accession"])
-        try:
-            known = spark.read.parquet(catalogue).select("accession")
-        except Exception:  # the first batch makes the table
-            known = rows.limit(0).select("accession")
-        rows.join(known, "accession", "left_anti").write.mode("append").parquet(catalogue)
+        if table_exists(spark, catalogue):  # the first batch makes the table; a table that can't be read stops the run
+            rows = rows.join(spark.read.schema("accession string").parquet(catalogue), "accession", "left_anti")
+        rows.write.mode("append").parquet(catalogue)
 
     source = spark.readStream.schema(schema.REPORT).option("mode", "PERMISSIVE").json(incoming)
     source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

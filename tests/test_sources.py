@@ -4,6 +4,7 @@ import gzip
 import json
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from sylva.sources import predictions, registry, release, sequences
@@ -25,10 +26,10 @@ ORIGIN
 
 def test_fasta(spark, tmp_path):
     (tmp_path / "a.fna").write_text(">s1 first one\nACG\n\nTT\n>s2\nGG\n")
-    (tmp_path / "b.fasta").write_text(">s1 again\nCCC\n>s3 x\n\n")
+    (tmp_path / "b.fasta").write_bytes(b"\n>s1 again\r\nCCC\r\n>s3 x\r\n\r\n>s4 mutation 12A>G of > host\r\nAC\r\nGT")
     (tmp_path / "c.txt").write_text(">no\nA\n")
     got = {r.header_id: (r.name, r.seq) for r in sequences.read_fasta(spark, f"file://{tmp_path}").collect()}
-    assert got == {"s1": ("first one", "ACGTT"), "s2": ("s2", "GG"), "s3": ("x", "")}
+    assert got == {"s1": ("first one", "ACGTT"), "s2": ("s2", "GG"), "s3": ("x", ""), "s4": ("mutation 12A>G of > host", "ACGT")}
 
 
 def test_gbff(spark, tmp_path):
@@ -65,9 +66,6 @@ def test_registry_document(spark, tmp_path):
     acc = t["accession"]
     rec = registry.reconcile(acc, spark.createDataFrame([("other",)], "header_id string"))
     assert not rec.where("accession = 'A'").first().downloaded
-    for _ in range(2):
-        registry.write_table(acc, f"file://{tmp_path}/acc")
-    assert spark.read.parquet(f"file://{tmp_path}/acc").count() == 2
     more = spark.createDataFrame([("A", "x"), ("C", "y")], "accession string, organism string")
     merged = registry.merge_new(acc, more, "accession")
     assert merged.count() == 3 and merged.where("accession = 'A'").first().organism is None
@@ -128,3 +126,62 @@ def test_predictions_and_samples(spark, tmp_path):
     assert predictions.read_split(spark, path, "h2", "train").count() == 1
     predictions.write_samples(s, f"file://{tmp_path}/csv", "csv")
     assert spark.read.option("header", True).csv(f"file://{tmp_path}/csv").count() == 3
+
+
+def test_tables_are_replaced_in_one_step(spark, tmp_path, monkeypatch):
+    path = f"file://{tmp_path}/t"
+    mk = lambda *v: spark.createDataFrame([(x,) for x in v], "accession string")
+    read = lambda: sorted(r.accession for r in registry.read_table(spark, path).collect())
+    assert not registry.table_exists(spark, path)
+    mk("plain").write.parquet(path)  # a folder of plain files is a table as well
+    assert registry.table_exists(spark, path) and read() == ["plain"]
+    registry.write_table(registry.read_table(spark, path).unionByName(mk("a")), path)
+    assert read() == ["a", "plain"] and not list((tmp_path / "t").glob("*.parquet"))
+    with pytest.raises(Exception, match="lost"):  # dies while it writes the new version
+        registry.write_table(mk("x").select(F.raise_error(F.lit("lost")).cast("string").alias("accession")), path)
+    assert read() == ["a", "plain"]
+    with monkeypatch.context() as m:  # dies between the version and the mark
+        m.setattr(registry, "CURRENT", None)
+        with pytest.raises(Exception):
+            registry.write_table(mk("y"), path)
+    assert read() == ["a", "plain"]
+    for v in ("b", "c", "d"):
+        registry.write_table(mk(v), path)
+        assert read() == [v]
+    assert len(list((tmp_path / "t").glob("v-*"))) == 2
+
+
+def test_capacity_cache_drops_ancestors(spark):
+    caps = spark.createDataFrame([("s", 100, 1), ("g", 100, 2), ("g", 50, 2), ("r", 100, 3), ("other", 100, 4)], "taxid string, min_len int, capacity bigint")
+    lin = spark.createDataFrame([("s", [("s",), ("g",), ("r",)]), ("other", [("other",), ("r",)])], "taxid string, path array<struct<taxid: string>>")
+    got = registry.cached_capacities(caps, spark.createDataFrame([("s",), ("s",), (None,), ("nowhere",)], "taxid string"), lin)
+    assert [(r.taxid, r.capacity) for r in got.collect()] == [("other", 4)]
+
+
+def test_discovery_keeps_what_is_known(spark, tmp_path):
+    from sylva import cli
+
+    cat = f"file://{tmp_path}/cat"
+    for name, text in (("one", RECORD), ("two", RECORD.replace("NC_1", "NC_2").replace("Good name", "Second") + RECORD.replace("Good name", "Changed"))):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "x.gbff").write_text(text)
+        cli.main(["discover", cat, "--release", f"file://{tmp_path}/{name}"])
+    acc = {r.accession: r.organism for r in registry.read_table(spark, f"{cat}/accession").collect()}
+    assert acc == {"NC_1.1": "Good name", "NC_2.1": "Second"}
+    assert sorted(r.header_id for r in registry.read_table(spark, f"{cat}/sequence").collect()) == ["NC_1.1", "NC_2.1"]
+    # a catalogue that can't be read is never taken for a new one
+    for f in (tmp_path / "cat" / "accession").rglob("*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        cli.main(["discover", cat, "--release", f"file://{tmp_path}/one"])
+    assert b"broken" in {f.read_bytes() for f in (tmp_path / "cat" / "accession").rglob("*.parquet")}
+
+
+def test_stream_never_appends_to_a_broken_table(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "cat").mkdir()
+    (tmp_path / "cat" / "x.parquet").write_bytes(b"broken")
+    (tmp_path / "in" / "1.json").write_text(json.dumps({"accession": "A", "organism": {"tax_id": 1}}) + "\n")
+    with pytest.raises(Exception):
+        ingest_reports(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/cat", f"file://{tmp_path}/ck")
+    assert [f.name for f in (tmp_path / "cat").glob("*.parquet")] == ["x.parquet"]
