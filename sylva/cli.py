@@ -12,6 +12,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sylva import tables
 from sylva.operators import audit, bucketing, negatives, openset
 from sylva.plans import pipeline
 from sylva.sources import predictions, registry, release, sequences
@@ -103,18 +104,18 @@ def _discover(spark: SparkSession, a: argparse.Namespace) -> None:
         records = sequences.read_gbff(spark, a.release)
         found = release.report_rows(release.record_reports(records)).withColumn("downloaded", F.lit(True)).withColumn("headers", F.array(F.struct(F.col("accession").alias("id"), F.col("organism").alias("name"))))
         fresh = sequences.sequence_table(records.groupBy(F.col("accession").alias("header_id")).agg(F.max("sequence").alias("seq")))
-        if registry.table_exists(spark, stored):  # other releases' sequences stay
-            fresh = audit.merge_manifests(registry.read_table(spark, stored), fresh, "header_id")
-        registry.write_table(fresh, stored)
+        if tables.table_exists(spark, stored):  # other releases' sequences stay
+            fresh = audit.merge_manifests(tables.read_table(spark, stored), fresh, "header_id")
+        tables.write_table(fresh, stored)
     if a.reports:
         rows = release.report_rows(release.read_reports(spark, a.reports))
         found = rows if found is None else found.unionByName(rows, allowMissingColumns=True)
     if found is None:
         raise SystemExit("give --reports or --release")
     found = found.dropDuplicates(["accession"])
-    if registry.table_exists(spark, path):
-        found = registry.merge_new(registry.read_table(spark, path), found, "accession")
-    registry.write_table(found, path)
+    if tables.table_exists(spark, path):
+        found = registry.merge_new(tables.read_table(spark, path), found, "accession")
+    tables.write_table(found, path)
 
 
 def _benchmark(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -137,7 +138,7 @@ def _benchmark(spark: SparkSession, a: argparse.Namespace) -> None:
         kept = openset.retained_leaves(leaves, closure, spark.read.json(a.manifest).select(F.col("taxid").alias("node_id")))
         openset.reference_lines(kept, seq).write.mode("overwrite").text(a.output)
     elif a.task == "parse-baseline":
-        ranks = openset.rank_map(registry.read_table(spark, f"{a.catalogue}/lineage"))
+        ranks = openset.rank_map(tables.read_table(spark, f"{a.catalogue}/lineage"))
         lines = spark.read.text(a.lines).select("value", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"))
         parse = predictions.parse_scored_output if a.kind == "centrifuge" else predictions.parse_status_output
         parse(lines, ranks, "at").write.mode("overwrite").parquet(a.output)

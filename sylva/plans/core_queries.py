@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylva.functions.text import taxid_number
-from sylva.operators.incremental import changed_rows
+from sylva.operators import incremental
 from sylva.operators.latest import latest
 from sylva.operators.tree_aggregate import tree_aggregate, tree_median
-from sylva.session import table
+from sylva.session import shared_dir, table, written
 
 
 def _state(df: DataFrame) -> DataFrame:
@@ -27,13 +30,52 @@ def logged_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(latest(log, ["accession"], ["run_id", "logged_at"], ["downloaded", "local_path"]))
 
 
-def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return changed_rows(registry_state(spark, sf_dir), logged_state(spark, sf_dir), ["accession"], ["downloaded", "local_path"]).select("accession")
+_KEYS, _VALUES = ["accession"], ["downloaded", "local_path"]
+_CHANGE = "accession string, downloaded boolean, local_path string"
+
+
+def _p2_store(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/p2-{uuid.uuid4().hex}"
+
+
+def _p2_run(now: DataFrame, before: DataFrame, store: str, on_written: Callable[[], None] | None = None) -> None:
+    """One run over the registry: the records of changed partitions that differ from what was logged come out."""
+    work = lambda part: incremental.differing_rows(part, incremental.handled_now(before, _KEYS, store), _KEYS, _VALUES)
+    incremental.run_incremental(now, _KEYS, _VALUES, store, work, on_written=on_written)
 
 
 def p2_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The records a run must handle, with the state it has to bring about."""
-    return changed_rows(registry_state(spark, sf_dir), logged_state(spark, sf_dir), ["accession"], ["downloaded", "local_path"])
+    """The records a run must handle, with the state it has to bring about: what successful runs logged is taken as handled, then one run is made."""
+    now, before, store = written(registry_state(spark, sf_dir)), written(logged_state(spark, sf_dir)), _p2_store(spark)
+    incremental.adopt(before, _KEYS, _VALUES, store)
+    _p2_run(now, before, store)
+    return incremental.output(spark, store, _CHANGE)
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p2_changes(spark, sf_dir).select("accession")
+
+
+class Lost(RuntimeError):
+    """The driver of a run is lost."""
+
+
+def p2_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``p2_changes``, after a run over the oldest rows of the registry that was lost between its output and its fingerprints."""
+    old = table(spark, sf_dir, "accessions").groupBy("accession").agg(F.min(F.struct("last_update", "downloaded", "local_path")).alias("m"))
+    first = written(_state(old.select("accession", "m.downloaded", "m.local_path")))
+    now, before, store = written(registry_state(spark, sf_dir)), written(logged_state(spark, sf_dir)), _p2_store(spark)
+    incremental.adopt(before, _KEYS, _VALUES, store)
+
+    def lost() -> None:
+        raise Lost
+
+    try:
+        _p2_run(first, before, store, lost)
+    except Lost:
+        pass
+    _p2_run(now, before, store)
+    return incremental.output(spark, store, _CHANGE)
 
 
 def _current_taxids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,10 +107,13 @@ SELECT {{}} FROM now LEFT JOIN logged USING (accession)
 WHERE logged.accession IS NULL OR now.downloaded IS DISTINCT FROM logged.downloaded OR now.local_path IS DISTINCT FROM logged.local_path
 """
 
-QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes, "p3_found": p3_found, "p3_per_taxid": p3_per_taxid}
+_P2_STATE = "now.accession AS accession, now.downloaded AS downloaded, now.local_path AS local_path"
+
+QUERIES = {"p2_found": p2_found, "p2_changes": p2_changes, "p2_recovered": p2_recovered, "p3_found": p3_found, "p3_per_taxid": p3_per_taxid}
 ORACLE = {
     "p2_found": _P2.format("now.accession"),
-    "p2_changes": _P2.format("now.accession AS accession, now.downloaded AS downloaded, now.local_path AS local_path"),
+    "p2_changes": _P2.format(_P2_STATE),
+    "p2_recovered": _P2.format(_P2_STATE),
     "p3_found": f"""WITH t AS (SELECT {_TAXID.format('taxid')} AS taxid, count(*) AS n FROM ({_CURRENT}) GROUP BY 1)
 SELECT taxid FROM t WHERE taxid IS NOT NULL AND n * 100 >= (SELECT sum(n) FROM t)""",
     "p3_per_taxid": f"""SELECT {_TAXID.format('taxid')} AS taxid, count(*) AS n_accessions,

@@ -16,7 +16,7 @@ from sylva.functions.ranks import below
 from sylva.functions.sketch import bottom_k
 from sylva.operators import allocation, audit, bucketing, hierarchy, negatives, openset, sampling, similarity, splitting, windows
 from sylva.session import cut, written
-from sylva.sources.registry import read_table
+from sylva.tables import read_table
 
 
 @dataclass(frozen=True)

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from sylva import schema
-from sylva.sources.registry import table_exists
 from sylva.sources.release import report_rows
+from sylva.tables import table_exists
 
 
 def ingest_reports(spark: SparkSession, incoming: str, catalogue: str, checkpoint: str) -> None:

@@ -8,6 +8,7 @@ from statistics import median
 import pytest
 from pyspark.sql import functions as F
 
+from sylva.operators import incremental
 from sylva.operators.incremental import IncrementalParams, changed_rows, fingerprints, run_incremental
 from sylva.operators.latest import latest
 from sylva.operators.spread_rank import global_place, spread_running
@@ -24,7 +25,7 @@ def test_changed_rows(spark):
     now = spark.createDataFrame([("a", True, "p"), ("b", False, None), ("c", True, "q"), (None, True, None)], "k string, d boolean, p string").withColumn("bucket_x", F.lit(1))
     before = spark.createDataFrame([("a", True, "p", 9), ("b", False, "r", 9), ("z", True, None, 9), (None, True, None, 9)], "k string, d boolean, p string, h1 int")
     for n in (1, 7, 4096):
-        assert {r.k for r in changed_rows(now, before, ["k"], ["d", "p"], IncrementalParams(n)).collect()} == {"b", "c"}
+        assert {r.k for r in changed_rows(now, before, ["k"], ["d", "p"], n).collect()} == {"b", "c"}
     assert changed_rows(now, before.limit(0), ["k"], ["d", "p"]).count() == 4
     assert changed_rows(now.limit(0), before, ["k"], ["d", "p"]).count() == 0
 
@@ -37,36 +38,89 @@ def test_fingerprint_ignores_order_and_tells_null_from_empty(spark):
     assert f(a) == f(b) != f(c)
 
 
-def test_incremental_runs_handle_exactly_what_changed(spark, tmp_path):
-    store = f"file://{tmp_path}/store"
-    seen: list[int] = []
+@pytest.fixture
+def runs(spark, tmp_path):
+    """A store, a run over (key, value, day) rows that doubles values and drops negative ones, and what was seen and put out."""
+    store, seen = f"file://{tmp_path}/store", []
 
-    def process(df):
-        seen.append(df.count())
-        return df.select("k", (F.col("v") * 2).alias("v2"), "bucket")
+    def run(rows, fail=None, **kw):
+        def process(df):
+            seen.append({r.k for r in df.collect()})
+            if fail == "before":
+                raise RuntimeError("lost")
+            return df.where("v is null or v >= 0").select("k", (F.col("v") * 2).alias("v2"), "bucket")
+
+        def lost():
+            raise RuntimeError("lost")
+
+        df = spark.createDataFrame(rows, "k string, v int, day string").withColumn("n", F.lit(1))
+        kw = {"params": IncrementalParams(16)} | kw
+        return run_incremental(df, ["k"], ["v", "day"], store, process, on_written=lost if fail == "after" else None, **kw)
 
     def out():
-        return {(r.k, r.v2) for r in spark.read.parquet(f"{store}/output").collect()}
-
-    rows = [(f"k{i}", i) for i in range(200)]
-    mk = lambda r: spark.createDataFrame(r, "k string, v int")
-    run_incremental(mk(rows), ["k"], ["v"], store, process)
-    assert out() == {(k, v * 2) for k, v in rows} and seen[-1] == 200
-    run_incremental(mk(rows), ["k"], ["v"], store, process)
-    assert len(seen) == 1  # nothing changed, nothing processed
-    rows[3] = ("k3", 999)
-    rows.append(("new", 5))
-
-    def fails(df):
-        raise RuntimeError("lost")
-
-    with pytest.raises(RuntimeError):
-        run_incremental(mk(rows), ["k"], ["v"], store, fails)
-    run_incremental(mk(rows), ["k"], ["v"], store, process)
-    assert out() == {(k, v * 2) for k, v in rows} and seen[-1] < 30
-    gone = [r for r in rows if r[0] != "new"][:1]
-    run_incremental(mk(gone), ["k"], ["v"], store, process)
-    assert out() == {(k, v * 2) for k, v in gone}
+        return {(r.k, r.v2) for r in incremental.output(spark, store, "k string, v2 int").collect()}
+
+    run.store, run.seen, run.out = store, seen, out
+    return run
+
+
+def test_incremental_runs_handle_exactly_what_changed(runs):
+    want = lambda rows: {(k, None if v is None else v * 2) for k, v, _ in rows if v is None or v >= 0}
+    rows = [(f"k{i}", i, "d") for i in range(200)] + [(None, None, None)]
+    assert runs([]).count() == 0 and runs.out() == set()
+    assert runs(rows).count() == 16 and runs.out() == want(rows) and len(runs.seen[-1]) == 201
+    assert runs(rows).count() == 0 and len(runs.seen) == 1  # nothing changed, nothing processed
+    rows[3] = ("k3", 999, "d")
+    rows.append(("new", 5, "d"))
+    for fail in ("before", "after"):
+        with pytest.raises(RuntimeError, match="lost"):
+            runs(rows, fail)
+    assert 1 <= runs(rows).count() <= 2 and runs.out() == want(rows) and len(runs.seen[-1]) < 60
+    assert runs(rows).count() == 0
+    few = rows[:1]
+    runs(few)
+    assert runs.out() == want(few)
+    gone = [("k0", -1, "d")]  # processing keeps nothing of the partition
+    runs(gone)
+    assert runs.out() == set() and runs(gone).count() == 0
+    with pytest.raises(ValueError):
+        runs(rows, params=IncrementalParams(8))
+
+
+def test_a_source_that_goes_back_after_a_lost_run_is_handled_again(runs):
+    a, b = [(f"k{i}", i, "d") for i in range(50)], [(f"k{i}", i + 1000, "d") for i in range(50)]
+    runs(a)
+    with pytest.raises(RuntimeError, match="lost"):
+        runs(b, "after")  # its output is in place, its fingerprints aren't
+    assert runs.out() == {(k, v * 2) for k, v, _ in b}
+    assert runs(a).count() == 16 and runs.out() == {(k, v * 2) for k, v, _ in a}
+
+
+def test_a_tenth_of_the_days_changes_a_tenth_of_the_partitions(runs):
+    rows = [(f"k{i}", i, f"2024-01-{i % 30:02d} x/y") for i in range(3000)]
+    kw = {"by": ["day"], "params": IncrementalParams(4)}
+    assert runs(rows, **kw).count() == 120
+    rows = [(k, v + (d[8:10] in ("03", "07", "29")), d) for k, v, d in rows]
+    assert runs(rows, **kw).count() == 12 and len(runs.seen[-1]) == 300
+    rows += [("late", 1, "2025-01-01"), ("none", 2, None)]  # new days bring partitions of their own
+    assert runs(rows, **kw).count() == 2 and runs.out() == {(k, v * 2) for k, v, _ in rows}
+
+
+def test_a_moving_source_is_met_again(spark, runs, monkeypatch):
+    a, b = [(f"k{i}", i, "d") for i in range(50)], [(f"k{i}", i + 1, "d") for i in range(50)]
+    runs(a)
+    path = f"{runs.store}-source"
+    spark.createDataFrame(b, "k string, v int, day string").write.parquet(path)
+
+    def process(df):  # while this run works, the source goes on
+        spark.createDataFrame([(k, v + 7, d) for k, v, d in b], "k string, v int, day string").write.mode("overwrite").parquet(path)
+        return df.select("k", (F.col("v") * 2).alias("v2"), "bucket")
+
+    read = lambda: spark.read.parquet(path)
+    run_incremental(read(), ["k"], ["v", "day"], runs.store, process, IncrementalParams(16))
+    assert runs.out() == {(k, v * 2) for k, v, _ in b}  # the snapshot's values
+    assert run_incremental(read(), ["k"], ["v", "day"], runs.store, lambda df: df.select("k", (F.col("v") * 2).alias("v2"), "bucket"), IncrementalParams(16)).count() == 16
+    assert runs.out() == {(k, (v + 7) * 2) for k, v, _ in b}
 
 
 def test_tree_aggregate_and_median_with_a_hot_key(spark):

@@ -7,6 +7,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
+from sylva import tables
 from sylva.sources import predictions, registry, release, sequences
 from sylva.streaming.reports import ingest_reports
 
@@ -131,22 +132,22 @@ def test_predictions_and_samples(spark, tmp_path):
 def test_tables_are_replaced_in_one_step(spark, tmp_path, monkeypatch):
     path = f"file://{tmp_path}/t"
     mk = lambda *v: spark.createDataFrame([(x,) for x in v], "accession string")
-    read = lambda: sorted(r.accession for r in registry.read_table(spark, path).collect())
-    assert not registry.table_exists(spark, path)
+    read = lambda: sorted(r.accession for r in tables.read_table(spark, path).collect())
+    assert not tables.table_exists(spark, path)
     mk("plain").write.parquet(path)  # a folder of plain files is a table as well
-    assert registry.table_exists(spark, path) and read() == ["plain"]
-    registry.write_table(registry.read_table(spark, path).unionByName(mk("a")), path)
+    assert tables.table_exists(spark, path) and read() == ["plain"]
+    tables.write_table(tables.read_table(spark, path).unionByName(mk("a")), path)
     assert read() == ["a", "plain"] and not list((tmp_path / "t").glob("*.parquet"))
     with pytest.raises(Exception, match="lost"):  # dies while it writes the new version
-        registry.write_table(mk("x").select(F.raise_error(F.lit("lost")).cast("string").alias("accession")), path)
+        tables.write_table(mk("x").select(F.raise_error(F.lit("lost")).cast("string").alias("accession")), path)
     assert read() == ["a", "plain"]
     with monkeypatch.context() as m:  # dies between the version and the mark
-        m.setattr(registry, "CURRENT", None)
+        m.setattr(tables, "CURRENT", None)
         with pytest.raises(Exception):
-            registry.write_table(mk("y"), path)
+            tables.write_table(mk("y"), path)
     assert read() == ["a", "plain"]
     for v in ("b", "c", "d"):
-        registry.write_table(mk(v), path)
+        tables.write_table(mk(v), path)
         assert read() == [v]
     assert len(list((tmp_path / "t").glob("v-*"))) == 2
 
@@ -166,9 +167,9 @@ def test_discovery_keeps_what_is_known(spark, tmp_path):
         (tmp_path / name).mkdir()
         (tmp_path / name / "x.gbff").write_text(text)
         cli.main(["discover", cat, "--release", f"file://{tmp_path}/{name}"])
-    acc = {r.accession: r.organism for r in registry.read_table(spark, f"{cat}/accession").collect()}
+    acc = {r.accession: r.organism for r in tables.read_table(spark, f"{cat}/accession").collect()}
     assert acc == {"NC_1.1": "Good name", "NC_2.1": "Second"}
-    assert sorted(r.header_id for r in registry.read_table(spark, f"{cat}/sequence").collect()) == ["NC_1.1", "NC_2.1"]
+    assert sorted(r.header_id for r in tables.read_table(spark, f"{cat}/sequence").collect()) == ["NC_1.1", "NC_2.1"]
     # a catalogue that can't be read is never taken for a new one
     for f in (tmp_path / "cat" / "accession").rglob("*.parquet"):
         f.write_bytes(b"broken")
