@@ -1,7 +1,7 @@
 """Per-key results without imbalance: multi-level tree aggregation.
 
-Rows are cut into chunks of about ``chunk_rows`` by a hash, each chunk combines its rows per key, and states merge in
-rounds of ``fan_in`` chunks until one is left. A key with a third of all rows so reaches its last reducer as at most
+Rows are cut into chunks of about ``chunk_rows`` by a hash of columns that tell rows apart, each chunk combines its rows per key, and states merge
+in rounds of ``fan_in`` chunks until one is left. A key with a third of all rows so reaches its last reducer as at most
 ``fan_in`` states, whatever the number of input tasks.
 """
 
@@ -14,14 +14,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sylva.session import written
+
 
 @dataclass(frozen=True)
 class TreeParams:
-    """``chunks`` at the leaves of the tree and ``fan_in`` of each round: ceil(log(chunks) / log(fan_in)) rounds of merging."""
+    """Rows of a chunk at the leaves of the tree and ``fan_in`` of each round: ceil(log(rows / chunk_rows) / log(fan_in)) rounds of merging.
+
+    ``chunks`` fixes their number instead, which saves counting the rows; counting costs nothing where the input is a written table.
+    """
 
-    chunks: int = 256
+    chunk_rows: int = 262_144
     fan_in: int = 16
     mantissa_bits: int = 10
+    chunks: int | None = None
 
 
 #: How partial states of an aggregate merge.
@@ -34,7 +40,7 @@ def tree_aggregate(df: DataFrame, keys: Sequence[str], spread: Sequence[str], ag
     ``spread`` are the columns whose hash picks the chunk. Null keys form a group like any other; nulls in an aggregated
     column are ignored, a group of only nulls gives null. An empty table gives no rows.
     """
-    chunks = max(1, params.chunks)
+    chunks = max(1, params.chunks or -(-df.count() // params.chunk_rows))
     state = df.withColumn("__chunk", F.pmod(F.xxhash64(*spread), F.lit(chunks)).cast("int")).groupBy(*keys, "__chunk").agg(*[MERGE[m](c).alias(name) for name, (m, c) in aggs.items()])
     while chunks > 1:
         chunks = math.ceil(chunks / params.fan_in)
@@ -51,14 +57,15 @@ def length_bin(col: str, bits: int) -> Column:
     return F.when(F.col(col) < 0, -size).otherwise(size).cast("int")
 
 
-def tree_median(df: DataFrame, keys: Sequence[str], value: str, params: TreeParams = TreeParams()) -> DataFrame:
+def tree_median(df: DataFrame, keys: Sequence[str], value: str, spread: Sequence[str], params: TreeParams = TreeParams()) -> DataFrame:
     """Exact median per key (the mean of the middle two for even counts), as ``(keys, median)``; nulls in ``value`` are ignored.
 
-    Equal values of a key first become one row with a count, merged in the tree. Those rows are grouped by a bin of
-    the value (at most about 64 x 2^mantissa_bits bins a key); a window over the bins' counts finds the bin with
-    the middle, a window inside each bin the value. No task sees more of a key than its bins or one bin's distinct values.
+    Equal values of a key become one row with a count, merged in the tree like any other state, so a value that most rows of a key share is no hot
+    key either; these counts are written once. They are grouped by a bin of the value (at most about 64 x 2^mantissa_bits bins a key);
+    a window over the bins' counts finds the bin with the middle, a window inside each bin the value. No task sees more of a key than its
+    bins or one bin's distinct values.
     """
-    counted = tree_aggregate(df.where(F.col(value).isNotNull()), [*keys, value], [*keys, value], {"__n": ("sum", F.lit(1).cast("bigint"))}, TreeParams(1))
+    counted = written(tree_aggregate(df.where(F.col(value).isNotNull()), [*keys, value], spread, {"__n": ("sum", F.lit(1).cast("bigint"))}, params))
     counted = counted.withColumn("__bin", length_bin(value, params.mantissa_bits))
     rows = lambda w: F.sum("__n").over(w.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n")
     names = {k: f"__k{i}" for i, k in enumerate(keys)}

@@ -79,22 +79,23 @@ def p2_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _current_taxids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``accession, taxid, length`` of current rows, written once: all aggregates below read this table, and counting it reads no rows."""
     rows = latest(table(spark, sf_dir, "accessions"), ["accession"], ["last_update"], ["taxid", "total_sequence_length"])
-    return rows.select("accession", taxid_number("taxid").alias("taxid"), F.when(F.col("total_sequence_length") > 0, F.col("total_sequence_length")).alias("length"))
+    return written(rows.select("accession", taxid_number("taxid").alias("taxid"), F.when(F.col("total_sequence_length") > 0, F.col("total_sequence_length")).alias("length")))
 
 
 def p3_per_taxid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Count of accessions, sum and median of their positive lengths, for each taxid (accessions without one form the group null)."""
     rows = _current_taxids(spark, sf_dir)
     totals = tree_aggregate(rows, ["taxid"], ["accession"], {"n_accessions": ("sum", F.lit(1).cast("bigint")), "sum_length": ("sum", F.col("length"))})
-    middle = tree_median(rows, ["taxid"], "length").select(F.col("taxid").alias("__t"), F.col("median").alias("median_length"))
+    middle = tree_median(rows, ["taxid"], "length", ["accession"]).select(F.col("taxid").alias("__t"), F.col("median").alias("median_length"))
     return totals.join(middle, F.col("taxid").eqNullSafe(F.col("__t")), "left").select("taxid", "n_accessions", "sum_length", "median_length")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = tree_aggregate(_current_taxids(spark, sf_dir), ["taxid"], ["accession"], {"n": ("sum", F.lit(1).cast("bigint"))})
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    return counts.where(F.col("taxid").isNotNull() & (F.col("n") * 100 >= total)).select("taxid")
+    rows = _current_taxids(spark, sf_dir)
+    counts = tree_aggregate(rows, ["taxid"], ["accession"], {"n": ("sum", F.lit(1).cast("bigint"))})
+    return counts.where(F.col("taxid").isNotNull() & (F.col("n") * 100 >= rows.count())).select("taxid")
 
 
 _CURRENT = "SELECT DISTINCT ON (accession) * FROM accessions ORDER BY accession, last_update DESC NULLS LAST"

@@ -127,16 +127,16 @@ def test_tree_aggregate_and_median_with_a_hot_key(spark):
     rng = random.Random(3)
     rows = [(("hot" if rng.random() < 0.5 else rng.choice(["a", "b", None])), rng.choice([None, rng.randint(-50, 10**10), 5, 0]), i) for i in range(4000)]
     df = spark.createDataFrame(rows, "k string, v bigint, id int").withColumn("__chunk_x", F.lit(0))
-    for p in (TreeParams(1), TreeParams(5, 2), TreeParams(64, 4)):
+    for p in (TreeParams(), TreeParams(900, 2), TreeParams(50, 4), TreeParams(chunks=5, fan_in=2)):
         got = {r.k: (r.n, r.s, r.lo) for r in tree_aggregate(df, ["k"], ["id"], {"n": ("sum", F.lit(1).cast("bigint")), "s": ("sum", F.col("v")), "lo": ("min", F.col("v"))}, p).collect()}
         for k in ("hot", "a", "b", None):
             v = [x[1] for x in rows if x[0] == k and x[1] is not None]
             assert got[k] == (sum(1 for x in rows if x[0] == k), sum(v), min(v))
-    for bits in (1, 10):
-        got = {r.k: r.median for r in tree_median(df, ["k"], "v", TreeParams(mantissa_bits=bits)).collect()}
+    for p in (TreeParams(mantissa_bits=1), TreeParams(500, 3)):
+        got = {r.k: r.median for r in tree_median(df, ["k"], "v", ["id"], p).collect()}
         for k in ("hot", "a", "b", None):
             assert got[k] == median([x[1] for x in rows if x[0] == k and x[1] is not None])
-    assert tree_median(df.limit(0), ["k"], "v").count() == 0
+    assert tree_median(df.limit(0), ["k"], "v", ["id"]).count() == 0
     assert tree_aggregate(df.limit(0), ["k"], ["id"], {"n": ("sum", F.lit(1))}).count() == 0
 
 
