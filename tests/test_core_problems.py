@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sylva.operators import incremental
+from sylva.operators.hot_join import hot_join, hot_keys
 from sylva.operators.incremental import IncrementalParams, changed_rows, fingerprints, run_incremental
 from sylva.operators.latest import latest
 from sylva.operators.spread_rank import global_place, spread_running
@@ -153,3 +154,14 @@ def test_spread_running_gives_places_and_sums(spark):
         at += w
     places = sorted(r.place for r in global_place(df.withColumn("h", F.pmod(F.xxhash64("id"), F.lit(1 << 48))), "h", "id").collect())
     assert places == list(range(500))
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_hot_join(spark, how):
+    rows = [("hot", i) for i in range(300)] + [(f"k{i}", i) for i in range(200)] + [(None, i) for i in range(5)]
+    df, one = spark.createDataFrame(rows, "k string, i int"), spark.createDataFrame([("hot", "H"), *[(f"k{i}", f"v{i}") for i in range(100)], ("other", "x"), (None, "n")], "k string, v string")
+    hot = hot_keys(df, "k", 100)
+    assert [r.k for r in hot.collect()] == ["hot"]
+    want = sorted(map(tuple, df.join(one, "k", how).collect()), key=str)
+    assert sorted(map(tuple, hot_join(df, one, "k", hot, how).collect()), key=str) == want
+    assert hot_join(df.limit(0), one, "k", hot, how).count() == 0
