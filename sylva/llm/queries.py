@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sylva.llm import garbled, grouped_split, leakage, packing, proportions, tokenize_corpus
 from sylva.session import table, written
@@ -36,7 +37,14 @@ def p4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p4_pack(spark, sf_dir).where("n_pieces > 1 and piece = 0").select("container", "accession")
+    """The accessions that had to be cut: those whose pieces lie in several boxes."""
+    return packing.split_items(p4_pack(spark, sf_dir))
+
+
+def p4_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per container type: pieces and bases packed, boxes that are overfull, and whether the boxes are within 2 percent (and two boxes) of the least possible number."""
+    f = packing.fill(p4_pack(spark, sf_dir), table(spark, sf_dir, "containers"))
+    return f.select("container", "n_pieces", "bases", "overfull", "lower_bound", (F.col("boxes") <= F.col("lower_bound") * 1.02 + 2).alias("tight"))
 
 
 def _p5_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +97,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_restored(spark, sf_dir).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
+QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p4_fill": p4_fill, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
 ORACLE = {
     "p1_found": """
 WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
@@ -101,6 +109,10 @@ SELECT t.head_taxid, t.axis_name, t.category FROM sample_targets t JOIN sample_r
 LEFT JOIN by_category c ON (t.head_taxid, t.axis_name, t.category) = (c.head_taxid, c.axis_name, c.category)
 WHERE coalesce(c.n, 0) < greatest(t.min_windows, round(t.target_share * r.sample_size))""",
     "p4_found": f"SELECT container, accession FROM ({_CURRENT}) a JOIN containers c ON a.total_sequence_length > c.max_bases",
+    "p4_fill": f"""
+SELECT container, CAST(sum((total_sequence_length - 1) // max_bases + 1) AS BIGINT) AS n_pieces, CAST(sum(total_sequence_length) AS BIGINT) AS bases, 0 AS overfull,
+CAST((sum(total_sequence_length) + max_bases - 1) // max_bases AS BIGINT) AS lower_bound, true AS tight
+FROM ({_CURRENT}) a CROSS JOIN containers WHERE total_sequence_length > 0 GROUP BY container, max_bases""",
     "p5_found": f"""
 WITH RECURSIVE rec AS (
   SELECT accession, {_TAXID.format('taxid')} AS t FROM ({_CURRENT}) UNION ALL SELECT accession, {_TAXID.format('host_taxid')} FROM plasmid_records),

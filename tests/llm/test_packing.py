@@ -66,3 +66,25 @@ def test_hot_length_ties_and_tiny_inputs(spark):
     assert run(spark, [1, 2], []) == [] if spark.createDataFrame([], "container string, max_bases bigint").count() else True
     empty = spark.createDataFrame([], "accession string, length bigint")
     assert P.pack(empty, spark.createDataFrame([("x", 10)], "container string, max_bases bigint")).count() == 0
+
+
+def test_split_items_and_fill(spark):
+    lengths = [5, 10, 11, 25, None, 3]
+    items = spark.createDataFrame([(f"a{i}", x) for i, x in enumerate(lengths)], "accession string, length bigint")
+    kinds = spark.createDataFrame([("x", 10), ("y", 30)], "container string, max_bases bigint")
+    packed = P.pack(items, kinds)
+    assert {tuple(r) for r in P.split_items(packed).collect()} == {("x", "a2"), ("x", "a3")}
+    f = {r.container: r for r in P.fill(packed, kinds).collect()}
+    assert (f["x"].n_pieces, f["x"].bases, f["x"].overfull, f["x"].lower_bound) == (8, 54, 0, 6) and f["y"].lower_bound == 2 <= f["y"].boxes
+    assert P.split_items(packed.limit(0)).count() == 0 == P.fill(packed.limit(0), kinds).count()
+
+
+def test_batches_of_one_bucket_alone_leave_more_space():
+    bounds, counts = np.array([30, 60]), np.array([100, 100])
+    assert P.batches(bounds, counts, 100)[1] < P.batches(bounds, counts, 100, fill_rests=False)[1] == 134
+
+
+def test_a_bucket_is_cut_into_parts(spark):
+    lengths = [7] * 300 + [4] * 300
+    for n in check(run(spark, lengths, [("x", 20)], P.PackingParams(salts=2, part_rows=20)), lengths, [("x", 20)]):
+        assert n == 180
