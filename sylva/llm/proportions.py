@@ -50,19 +50,11 @@ def swap_repair(available: np.ndarray, target: np.ndarray, floor: np.ndarray, si
         cut[order[: size - int(cut.sum())]] += 1
         low = cut
     x = low.copy()
-    room = available - x
     left = size - int(x.sum())
-    if left > 0:  # the random start: numpy's exact law holds up to 1e9 records, beyond it shares of the room
-        if room.sum() < 1_000_000_000:
-            x += rng.multivariate_hypergeometric(room, left, method="marginals")
-        else:
-            exact = room * (left / room.sum())
-            add = np.minimum(np.floor(exact).astype(np.int64), room)
-            for i in np.argsort(-(exact - add), kind="stable"):
-                if add.sum() >= left:
-                    break
-                add[i] += int(add[i] < room[i])
-            x += add
+    while left > 0:  # the random start: records fall by share, those a full signature can't hold fall again
+        room = available - x
+        add = room if left >= room.sum() else np.minimum(rng.multinomial(left, room / room.sum()), room)
+        x, left = x + add, left - int(add.sum())
     while True:
         over, under = np.where(x > low, x - target, -1), np.where(x < available, target - x, -1)
         i, j = int(np.argmax(over)), int(np.argmax(under))
@@ -163,12 +155,21 @@ def materialise(label_map: DataFrame, targets: DataFrame, plan_rows: DataFrame,
     classes = classes.join(goal, ["head_taxid", "category"], "left").withColumn("category", F.when(F.col("__t").isNull(), F.lit(OTHER)).otherwise(F.col("category"))).drop("__t")
     placed = spread_running(classes, ["head_taxid", "category"], ["class_idx"], "n_windows", salts=params.salts)
     drawn = placed.join(named.where("n_drawn > 0").drop("__named"), ["head_taxid", "category"])
-    rows = drawn.select("head_taxid", F.when(F.col("category") != OTHER, F.col("category")).alias("category"), "class_idx", F.xxhash64(F.lit(params.seed), "head_taxid", "category").alias("key"), "start", "n_windows", "available", "n_drawn")
-    return rows.repartition("head_taxid", "class_idx").mapInArrow(_draw, "head_taxid string, category string, class_idx int, windows array<bigint>")
-
-
-#: Strata looked at in one step, which bounds a row of the result.
+    # a class of which very much is drawn is cut to ranges of its windows, so its strata are many tasks' work
+    parts = F.greatest(F.lit(1), F.ceil(F.col("n_windows") * (F.col("n_drawn") / F.col("available")) / F.lit(float(STEP)))).cast("int")
+    drawn = drawn.withColumn("parts", parts).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    edge = lambda i: ((F.col("n_windows").cast("decimal(19,0)") * i) / F.col("parts")).cast("decimal(38,6)")
+    lo, hi = F.floor(edge(F.col("part"))).cast("bigint"), F.floor(edge(F.col("part") + 1)).cast("bigint")
+    rows = drawn.select(
+        "head_taxid", F.when(F.col("category") != OTHER, F.col("category")).alias("category"), "class_idx", F.xxhash64(F.lit(params.seed), "head_taxid", "category").alias("key"),
+        "start", lo.alias("lo"), hi.alias("hi"), "available", "n_drawn", "part",
+    )
+    return rows.repartition("head_taxid", "class_idx", "part").mapInArrow(_draw, "head_taxid string, category string, class_idx int, windows array<bigint>")
+
+
+#: Strata looked at in one step, which bounds a row of the result, and windows held before they are handed on.
 STEP = 1 << 20
+HELD = 1 << 22
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -179,12 +180,24 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stratum j covers the places floor(j N / x) to floor((j + 1) N / x) - 1; one place of each is drawn by hash."""
+    """Stratum j covers the places floor(j N / x) to floor((j + 1) N / x) - 1; one place of each is drawn by hash.
+
+    A row is the windows ``lo`` to ``hi - 1`` of a class whose first window has place ``start``; strata that reach beyond it are drawn by the neighbour as well, and alike.
+    """
+    names = ["head_taxid", "category", "class_idx", "windows"]
     for batch in batches:
-        head, category, index, key, start, size, total, wanted = (batch.column(i).to_pylist() for i in range(8))
+        head, category, index, key, start, low, high, total, wanted = (batch.column(i).to_pylist() for i in range(9))
         rows: list[tuple[int, np.ndarray]] = []
+        held = 0
+
+        def made(rows: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            offsets = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int32)
+            flat = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.int64)
+            take = lambda v, kind: pa.array([v[r[0]] for r in rows], kind)
+            return pa.RecordBatch.from_arrays([take(head, pa.string()), take(category, pa.string()), take(index, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=names)  # noqa: B023
+
         for i in range(batch.num_rows):
-            n, x, lo, hi = total[i], wanted[i], start[i], start[i] + size[i]
+            n, x, lo, hi = total[i], wanted[i], start[i] + low[i], start[i] + high[i]
             first, last = max(lo * x // n - 1, 0), min((hi - 1) * x // n + 1, x - 1)
             for a in range(first, last + 1, STEP):
                 b = min(a + STEP, last + 1)
@@ -193,11 +206,11 @@ def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 with np.errstate(over="ignore"):
                     h = _mix(np.arange(a, b, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(key[i] & 0xFFFFFFFFFFFFFFFF))
                 place = edge[:-1] + (h % np.maximum(np.diff(edge), 1).astype(np.uint64)).astype(np.int64)
-                mine = place[(place >= lo) & (place < hi)] - lo
+                mine = place[(place >= lo) & (place < hi)] - start[i]
                 if len(mine):
                     rows.append((i, mine))
-        at = [r[0] for r in rows]
-        offsets = np.concatenate([[0], np.cumsum([len(r[1]) for r in rows])]).astype(np.int32)
-        flat = np.concatenate([r[1] for r in rows]) if rows else np.zeros(0, np.int64)
-        take = lambda v, kind: pa.array([v[i] for i in at], kind)  # noqa: B023, E731
-        yield pa.RecordBatch.from_arrays([take(head, pa.string()), take(category, pa.string()), take(index, pa.int32()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["head_taxid", "category", "class_idx", "windows"])
+                    held += len(mine)
+                if held >= HELD:
+                    yield made(rows)
+                    rows, held = [], 0
+        yield made(rows)

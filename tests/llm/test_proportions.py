@@ -79,3 +79,28 @@ def test_empty_tables(spark):
     assert p.count() == 6 and p.agg(F.sum("n_drawn")).first()[0] == 0
     assert P.materialise(lm.limit(0), tg, p).count() == 0
     assert {r.n_drawn for r in P.plan(lm, req.limit(0), tg).collect()} == {0}
+
+
+def test_the_start_follows_the_shares_at_any_size():
+    have = np.array([6, 3, 1]) * 10**15
+    for size in (10, 10**6, 10**13):
+        x = P.swap_repair(have, have // 10**15 * 0, np.zeros(3, int), size, 1)
+        assert x.sum() == size
+        if size > 10:
+            assert abs(x / size - [0.6, 0.3, 0.1]).max() < 0.01
+    assert P.swap_repair(np.array([5, 0, 2]), np.array([1, 1, 1]), np.zeros(3, int), 10**12, 1).tolist() == [5, 0, 2]
+
+
+def test_large_classes_are_drawn_in_parts(spark, monkeypatch):
+    import datetime as dt
+
+    monkeypatch.setattr(P, "STEP", 64)  # the driver's plan; tasks keep their own
+    lm = spark.createDataFrame([("h", 0, "r", 10_007, dt.datetime(2024, 1, 1), 0), ("h", 1, "r", 500, dt.datetime(2024, 1, 1), 0), ("h", 2, "r", 10**15, dt.datetime(2024, 1, 1), 0)], LM)
+    for axis, shares in (("class_idx", [("0", 0.9), ("1", 0.05), ("2", 0.05)]), ("rank", [("r", 1.0)])):
+        tg = spark.createDataFrame([("h", axis, c, s, 0) for c, s in shares], "head_taxid string, axis_name string, category string, target_share double, min_windows bigint")
+        plan = P.plan(lm, spark.createDataFrame([("h", 8000)], "head_taxid string, sample_size bigint"), tg)
+        drawn: dict[int, list[int]] = {}
+        for r in P.materialise(lm, tg, plan).collect():
+            drawn.setdefault(r.class_idx, []).extend(r.windows)
+        assert sum(map(len, drawn.values())) == 8000 and all(len(set(w)) == len(w) for w in drawn.values())
+        assert all(0 <= min(w) and max(w) < {0: 10_007, 1: 500, 2: 10**15}[c] for c, w in drawn.items())
