@@ -1,10 +1,11 @@
 """Splits that keep related records together.
 
-Records tie their taxids; a distributed union-find joins ties into groups: every task builds a forest of its own ties, forests
-are merged ``fan_in`` at a time, round by round, and each round passes on at most one tie per node a task has seen. Before a round
-would give its tasks more than ``merge_limit`` ties each, the rest is contracted by distributed minimum labels instead, so no
-task ever holds an unbounded forest. Groups are then assigned largest first to the split furthest below its target;
-that order depends only on the sizes, so it runs over the histogram of group sizes (at most sqrt(2 x records) different ones).
+Records tie their taxids; a distributed union-find joins ties into groups. Every task builds a forest of its own ties, and forests are merged
+``fan_in`` at a time, round by round; a round has as many tasks as it takes to give each at most about ``task_ties`` ties, the first one too. Each
+round passes on at most one tie per node a task has seen. As long as the ties need more than one task they are
+contracted between the rounds, each node to the least node of its neighbourhood, so that forests that lie in different tasks meet. Rounds end
+with the one that has a single task, or when every tree is a star. Groups are then assigned largest first to the split furthest below its
+target; that order depends only on the sizes, so it runs over the histogram of group sizes (at most sqrt(2 x records) different ones).
 """
 
 from __future__ import annotations
@@ -19,17 +20,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sylva.functions.text import accession_key, taxid_number
+from sylva.operators.hot_join import HOT_PARTS, hot_join, hot_keys
 from sylva.operators.latest import latest
 from sylva.operators.spread_rank import spread_running
-from sylva.session import cut, shuffle_partitions, written
+from sylva.session import written
 
 
 @dataclass(frozen=True)
 class SplitParams:
+    """``task_ties`` bounds the forest a task holds, about 200 bytes a tie; pairs of a group are made by tasks of ``pair_rows`` of its nodes each."""
+
     leaves: int = 64
     fan_in: int = 8
-    merge_limit: int = 4_000_000
+    task_ties: int = 2_000_000
     salts: int = 64
+    pair_rows: int = 512
 
 
 def local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,19 +63,19 @@ def local_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _contract(edges: DataFrame) -> DataFrame:
-    """Minimum labels by alternating large and small stars; each round is a written table, so lost executors repeat little."""
-    while True:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
-        down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        least = down.groupBy("a").agg(F.min("b").alias("m"))
-        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b"))).distinct()
-        new = written(small)
-        h = lambda d: d.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").bitwiseAND(F.lit(0xFFFFFFFF)))).first()
-        if h(new) == h(edges):
-            return new
-        edges = new
+    """One round of contraction: a large star, then a small star. What is connected stays connected, and labels only fall."""
+    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+    large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+    down = written(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(least.select("a", F.col("m").alias("b")))
+    return written(small.distinct())
+
+
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every node is tied to one node only, which itself is tied to none: then the trees are the groups."""
+    return edges.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty() and edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty()
 
 
 def components(ties: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
@@ -78,18 +83,21 @@ def components(ties: DataFrame, params: SplitParams = SplitParams()) -> DataFram
 
     Ties with a null end and of a node with itself tie nothing. An empty table gives no rows.
     """
-    forest = ties.where("a is not null and b is not null and a <> b").select(F.least("a", "b").cast("bigint").alias("a"), F.greatest("a", "b").cast("bigint").alias("b"))
-    schema = "a bigint, b bigint"
-    parts = max(params.leaves, shuffle_partitions(ties.sparkSession))
-    # ties go by both ends, so a node with a third of all ties is many tasks' work; forests later go by the node that is tied
-    forest = cut(forest.repartition(parts, "a", "b").mapInArrow(local_forest, schema))
-    while parts > 1:
-        parts = math.ceil(parts / params.fan_in)
-        if forest.count() > params.merge_limit * parts:
-            forest = _contract(forest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    forest = ties.where("a is not null and b is not null and a <> b").select(F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b"))
+    forest, schema = written(forest), "a bigint, b bigint"
+    need = lambda: -(-forest.count() // params.task_ties)
+    parts, spread = max(params.leaves, need()), ("a", "b")  # ties go by both ends first, so a node with a third of all ties is many tasks' work
+    while True:
+        forest = written(forest.repartition(parts, *spread).mapInArrow(local_forest, schema))
+        if parts == 1:
             break
-        forest = cut((forest.repartition(parts, "a") if parts > 1 else forest.coalesce(1)).mapInArrow(local_forest, schema))
-    forest = forest.select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("root"))
+        least = need()
+        if least > 1:
+            forest = _contract(forest)
+            if _all_stars(forest):
+                break
+        parts, spread = max(1, need(), math.ceil(parts / params.fan_in)), ("a",)
+    forest = forest.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return forest.unionByName(forest.select(F.col("root").alias("node"), "root").distinct())
 
 
@@ -154,15 +162,11 @@ def assign(rows: DataFrame, groups: DataFrame, targets: DataFrame, params: Split
     shares = [s / sum(x for _, x in goal) for _, s in goal]
     by_key = rows.where("key is not null and taxid is not null").groupBy("key").agg(F.min("taxid").alias("key_taxid"))
     roots = groups.select(F.col("node").alias("any_taxid"), "root")
-    known = (
-        rows.join(by_key, "key", "left")
-        .withColumn("any_taxid", F.coalesce("taxid", "key_taxid"))
-        .join(roots, "any_taxid", "left")
-        .withColumn("taxid_group", F.coalesce("root", "any_taxid"))
-    )
+    known = rows.join(by_key, "key", "left").withColumn("any_taxid", F.coalesce("taxid", "key_taxid"))
     # a row with neither taxid nor key is alone; rows equal in all columns get different numbers
-    alone = F.concat(F.lit("r"), F.monotonically_increasing_id().cast("string"))
-    named = written(known.select("accession", "origin", "taxid", F.coalesce(F.concat(F.lit("t"), F.col("taxid_group").cast("string")), F.concat(F.lit("k"), F.col("key")), alone).alias("group")))
+    known = written(known.withColumn("alone", F.when(F.col("any_taxid").isNull() & F.col("key").isNull(), F.concat(F.lit("r"), F.monotonically_increasing_id().cast("string")))))
+    known = hot_join(known, roots, "any_taxid", hot_keys(known, "any_taxid")).withColumn("taxid_group", F.coalesce("root", "any_taxid"))
+    named = written(known.select("accession", "origin", "taxid", F.coalesce(F.concat(F.lit("t"), F.col("taxid_group").cast("string")), F.concat(F.lit("k"), F.col("key")), "alone").alias("group")))
     sizes = written(named.groupBy("group").agg(F.count(F.lit(1)).alias("size")))
     hist = [(r["size"], r["n"]) for r in sizes.groupBy("size").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("size")).collect()]  # at most sqrt(2 x records) rows
     table = []
@@ -175,10 +179,18 @@ def assign(rows: DataFrame, groups: DataFrame, targets: DataFrame, params: Split
     quota = spark.createDataFrame(table, "size bigint, lo bigint, hi bigint, split_name string").groupBy("size").agg(F.collect_list(F.struct("lo", "hi", "split_name")).alias("q"))
     placed = spread_running(sizes, ["size"], ["group"], salts=params.salts, out="place").join(quota, "size")
     split = F.element_at(F.filter("q", lambda x: (F.col("place") >= x["lo"]) & (F.col("place") < x["hi"])), 1)["split_name"]
-    return named.join(placed.select("group", split.alias("split_name")), "group").select("accession", "origin", "taxid", "group", "split_name")
+    total = sum(size * n for size, n in hist)
+    hot = sizes.where(F.col("size") * HOT_PARTS >= total).select("group")  # at most HOT_PARTS groups
+    return hot_join(named, placed.select("group", split.alias("split_name")), "group", hot, "inner").select("accession", "origin", "taxid", "group", "split_name")
+
 
+def tied_pairs(groups: DataFrame, params: SplitParams = SplitParams()) -> DataFrame:
+    """All pairs of a group's taxids, as the problem states its result; ``groups`` as from ``components``.
 
-def tied_pairs(groups: DataFrame) -> DataFrame:
-    """All pairs of a group's taxids, as the problem states its result; ``groups`` as from ``components``."""
-    a, b = groups.select("root", F.col("node").alias("taxid_a")), groups.select("root", F.col("node").alias("taxid_b"))
-    return a.join(b, "root").where("taxid_a < taxid_b").select("taxid_a", "taxid_b")
+    A group of n nodes is cut into n / ``pair_rows`` parts, and each part meets the whole group: no task makes more than ``pair_rows`` x n of its pairs.
+    """
+    parts = groups.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / params.pair_rows).cast("int").alias("parts"))
+    cut = groups.join(parts, "root")
+    a = cut.select("root", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), F.col("node").alias("taxid_a"))
+    b = cut.select("root", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("node").alias("taxid_b"))
+    return a.join(b, ["root", "part"]).where("taxid_a < taxid_b").select("taxid_a", "taxid_b")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sylva.functions.text import accession_key
 from sylva.llm import garbled, grouped_split, leakage, packing, proportions, tokenize_corpus
 from sylva.session import table, written
 
@@ -61,6 +62,18 @@ def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_split.assign(rows, grouped_split.components(grouped_split.taxid_ties(rows)), table(spark, sf_dir, "split_targets"))
 
 
+def p5_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row about the splits: records, taxids and accession spellings that lie in two splits, and whether each split is within a thousandth of its target."""
+    rows = written(p5_splits(spark, sf_dir))
+    n = rows.groupBy("split_name").agg(F.count(F.lit(1)).alias("n")).join(F.broadcast(table(spark, sf_dir, "split_targets")), "split_name")
+    total = rows.count()
+    torn = lambda key: rows.where(F.col(key).isNotNull()).groupBy(key).agg((F.min("split_name") != F.max("split_name")).alias("t")).agg(F.count_if("t").alias(f"torn_{key}"))
+    keyed = rows.withColumn("key", accession_key("accession"))
+    torn_keys = keyed.where("key is not null").groupBy("key").agg((F.min("split_name") != F.max("split_name")).alias("t")).agg(F.count_if("t").alias("torn_keys"))
+    shares = n.agg((F.max(F.abs(F.col("n") / total - F.col("target_share"))) < 0.001).alias("on_target"), F.sum("n").alias("n_records"))
+    return shares.select("on_target", "n_records", torn("taxid").scalar().alias("torn_taxid"), torn_keys.scalar().alias("torn_keys"))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenize_corpus.encode_corpus(table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
@@ -97,7 +110,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_restored(spark, sf_dir).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p4_fill": p4_fill, "p5_found": p5_found, "p5_splits": p5_splits, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
+QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p4_fill": p4_fill, "p5_found": p5_found, "p5_splits": p5_splits, "p5_check": p5_check, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
 ORACLE = {
     "p1_found": """
 WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
@@ -112,7 +125,7 @@ WHERE coalesce(c.n, 0) < greatest(t.min_windows, round(t.target_share * r.sample
     "p4_fill": f"""
 SELECT container, CAST(sum((total_sequence_length - 1) // max_bases + 1) AS BIGINT) AS n_pieces, CAST(sum(total_sequence_length) AS BIGINT) AS bases, 0 AS overfull,
 CAST((sum(total_sequence_length) + max_bases - 1) // max_bases AS BIGINT) AS lower_bound, true AS tight
-FROM ({_CURRENT}) a CROSS JOIN containers WHERE total_sequence_length > 0 GROUP BY container, max_bases""",
+FROM ({_CURRENT}) a JOIN containers ON max_bases > 0 WHERE total_sequence_length > 0 GROUP BY container, max_bases""",
     "p5_found": f"""
 WITH RECURSIVE rec AS (
   SELECT accession, {_TAXID.format('taxid')} AS t FROM ({_CURRENT}) UNION ALL SELECT accession, {_TAXID.format('host_taxid')} FROM plasmid_records),
@@ -120,4 +133,5 @@ keyed AS (SELECT DISTINCT regexp_replace(lower(trim(accession, chr(32) || chr(9)
 tie AS (SELECT DISTINCT a.t AS a, b.t AS b FROM keyed a JOIN keyed b ON a.k = b.k AND a.k <> '' AND a.t <> b.t),
 reach(a, b) AS (SELECT a, b FROM tie UNION SELECT r.a, t.b FROM reach r JOIN tie t ON r.b = t.a)
 SELECT DISTINCT a AS taxid_a, b AS taxid_b FROM reach WHERE a < b""",
+    "p5_check": """SELECT true AS on_target, (SELECT count(DISTINCT accession) FROM accessions WHERE accession IS NOT NULL) + (SELECT count(*) FROM plasmid_records) AS n_records, 0 AS torn_taxid, 0 AS torn_keys""",
 }

@@ -23,12 +23,12 @@ def brute(ties):
     return {x: find(x) for x in parent}
 
 
-@pytest.mark.parametrize("limit", [10**6, 0])
+@pytest.mark.parametrize("limit", [10**6, 60, 10])
 def test_components_against_union_find(spark, limit):
     rng = random.Random(4)
     ties = [(rng.randint(0, 120), rng.randint(0, 120)) for _ in range(70)] + [(200 + i, 201 + i) for i in range(60)] + [(500, 500 + i) for i in range(1, 40)]
     df = spark.createDataFrame([*ties, (None, 3), (4, None), (7, 7)], "a bigint, b bigint")
-    got = {r.node: r.root for r in G.components(df, G.SplitParams(leaves=8, fan_in=4, merge_limit=limit)).collect()}
+    got = {r.node: r.root for r in G.components(df, G.SplitParams(leaves=8, fan_in=4, task_ties=limit)).collect()}
     want = brute([t for t in ties if t[0] != t[1]])
     assert got == want
     assert G.components(df.limit(0)).count() == 0
@@ -78,3 +78,11 @@ def test_splits_keep_related_records_together(spark):
     assert abs(n["train"] - 0.7 * len(out)) <= 2 and abs(n["val"] - 0.15 * len(out)) <= 2
     with pytest.raises(ValueError):
         G.assign(rows, groups, targets.limit(0))
+
+
+def test_pairs_of_a_large_group_are_cut(spark):
+    groups = spark.createDataFrame([(n, 1) for n in range(1, 60)] + [(100, 100), (101, 100)], "node bigint, root bigint")
+    want = {(a, b) for a in range(1, 60) for b in range(a + 1, 60)} | {(100, 101)}
+    for rows in (7, 512):
+        got = [tuple(r) for r in G.tied_pairs(groups, G.SplitParams(pair_rows=rows)).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
