@@ -4,7 +4,7 @@ A task turns some megabytes of documents into one sequence of word numbers and s
 test item can't be part of a match, so they only separate runs, and runs shorter than the minimum are left out: what is sorted
 is the part of the shard that could match at all. Every suffix of every test item is then binary-searched in each shard; the
 range of suffixes that share its first words gives all places, and neighbouring places on one diagonal join to the longest verbatim
-matches. Shards are independent, so nothing is shuffled but the matches found.
+matches. Shards are independent, so nothing is shuffled but the longest match of each document and item.
 """
 
 from __future__ import annotations
@@ -12,15 +12,19 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sylva.session import written
+
 _WORD = re.compile(r"[^\W_]+")
-#: So many places of matches are worked off at a time.
+#: So many places of matches are worked off at a time, and so many blocks of test items searched in one pass.
 PLACES = 4_000_000
+BLOCKS = 8
 
 
 @dataclass(frozen=True)
@@ -84,7 +88,11 @@ class Tests:
 
 
 def search(tests: Tests, docs: list[np.ndarray], m: int, places: int = PLACES) -> list[tuple[int, int, int, int, int]]:
-    """``(doc, item_id, n_words, doc_from, item_from)``: the maximal matches of at least ``m`` words; doc counts within ``docs``."""
+    """``(doc, item_id, n_words, doc_from, item_from)``: the longest match of at least ``m`` words of each document with each item; doc counts within ``docs``.
+
+    Places are worked off in the order of the tests, ``places`` at a time (a test place with more of them alone): what may go on in the next group stays open, of the
+    rest the longest are kept. So what is held is bounded by the shard, however often it repeats a passage.
+    """
     if not len(tests.starts) or not docs:
         return []
     lengths = np.array([len(d) for d in docs])
@@ -117,37 +125,50 @@ def search(tests: Tests, docs: list[np.ndarray], m: int, places: int = PLACES) -
             rows = np.arange(len(mid))
             a, b = there[rows, first], test_grams[rows, first]
             right = (a < b) | ((a == b) & upper)
-            open_ = lo < hi
-            lo = np.where(open_ & right, mid + 1, lo)
-            hi = np.where(open_ & ~right, mid, hi)
+            still = lo < hi
+            lo = np.where(still & right, mid + 1, lo)
+            hi = np.where(still & ~right, mid, hi)
         return lo
 
     low, high = bound(False), bound(True)
     n = high - low
-    stretches = []
     some = np.flatnonzero(n)
+    closed: list[np.ndarray] = []  # columns: document, item, words, place in the document, place in the item
+    open_ = np.zeros((3, 0), np.int64)  # stretches that the next group may go on with: place, test place, length
     groups = np.split(some, np.searchsorted(np.cumsum(n[some]), np.arange(places, int(n.sum()) + 1, places))) if len(some) else []
-    for g in groups:  # matches that reach over such a cut are joined below
+    for g in groups:
         if not len(g):
             continue
         c = n[g]
         ends = np.cumsum(c)
         inside = np.arange(int(ends[-1])) - np.repeat(ends - c, c) + np.repeat(low[g], c)
-        p, q = at[sa[inside]], np.repeat(tests.starts[g], c)
-        order = np.lexsort((q, q - p))
-        p, q = p[order], q[order]
-        new = np.concatenate([[True], (np.diff(q) != 1) | (np.diff(p) != 1)])
-        first = np.flatnonzero(new)
-        stretches.append((p[first], q[first], np.diff(np.append(first, len(p)))))
-    if not stretches:
-        return []
-    p, q, size = (np.concatenate(x) for x in zip(*stretches, strict=True))
+        p, q, size = at[sa[inside]], np.repeat(tests.starts[g], c), np.ones(int(ends[-1]), np.int64)
+        p, q, size = _joined(*(np.concatenate(x) for x in zip((p, q, size), open_, strict=True)))
+        goes_on = q + size == tests.starts[g[-1]] + 1
+        open_ = np.stack([p[goes_on], q[goes_on], size[goes_on]])
+        closed = [_longest([*closed, _rows(tests, doc_start, p[~goes_on], q[~goes_on], size[~goes_on] + m - 1)])]
+    best = _longest([*closed, _rows(tests, doc_start, open_[0], open_[1], open_[2] + m - 1)])
+    return list(map(tuple, best.tolist()))
+
+
+def _joined(p: np.ndarray, q: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches that follow each other on one diagonal become one."""
     order = np.lexsort((q, q - p))
     p, q, size = p[order], q[order], size[order]
     first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1] + size[:-1]) | (p[1:] != p[:-1] + size[:-1])]))
-    p, q, size = p[first], q[first], np.add.reduceat(size, first) + m - 1
+    return p[first], q[first], np.add.reduceat(size, first)
+
+
+def _rows(tests: Tests, doc_start: np.ndarray, p: np.ndarray, q: np.ndarray, words: np.ndarray) -> np.ndarray:
     d = np.searchsorted(doc_start, p, side="right") - 1
-    return list(zip(d.tolist(), tests.item[q].tolist(), size.tolist(), (p - doc_start[d]).tolist(), tests.place[q].tolist(), strict=True))
+    return np.stack([d, tests.item[q], words, p - doc_start[d], tests.place[q]], axis=1)
+
+
+def _longest(found: list[np.ndarray]) -> np.ndarray:
+    """The longest of each document's matches with each item; ties take the first place in the document, then in the item."""
+    rows = np.concatenate(found)
+    rows = rows[np.lexsort((rows[:, 4], rows[:, 3], -rows[:, 2], rows[:, 1], rows[:, 0]))]
+    return rows[np.concatenate([[True], (np.diff(rows[:, :2], axis=0) != 0).any(axis=1)])] if len(rows) else rows
 
 
 def _shards(blocks: list[list[tuple[int, str]]], params: LeakParams):
@@ -200,22 +221,29 @@ def longest_matches(documents: DataFrame, items: DataFrame, params: LeakParams =
     """``doc_id, item_id, n_words, doc_from, item_from``: the longest match of each document with each item it leaks, places counted in words.
 
     Ties take the first place in the document. Null and short texts and items match nothing; rows that share a doc_id count as one document.
-    Items are read by the driver in blocks of ``block_words`` words, one pass over the corpus serving up to 8 blocks; columns besides those named are ignored.
+    Items are read by the driver ``BLOCKS`` blocks of ``block_words`` words at a time; these are searched in one pass over the corpus, whose matches are
+    written before the next items are read. So what the driver and a task hold of the items is bounded (a longer item is a block of its own),
+    and usual test suites take one pass. Columns besides those named are ignored.
     """
+    source = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    schema = "doc_id bigint, item_id bigint, n_words bigint, doc_from bigint, item_from bigint"
+    search_in = lambda blocks: source.mapInArrow(_shards(blocks, params), schema)
+    done: list[DataFrame] = []
     blocks: list[list[tuple[int, str]]] = [[]]
     words = 0
     for row in items.where("text is not null and item_id is not null").select("item_id", "text").toLocalIterator():
-        words += row["text"].count(" ") + 1
-        if words > params.block_words:
+        n = len(words_of(row["text"]))
+        if n < params.min_words:
+            continue
+        if words and words + n > params.block_words:
+            if len(blocks) == BLOCKS:
+                done.append(written(search_in(blocks)))
+                blocks = []
             blocks.append([])
-            words = row["text"].count(" ") + 1
+            words = 0
+        words += n
         blocks[-1].append((row["item_id"], row["text"]))
-    source = documents.where(F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    schema = "doc_id bigint, item_id bigint, n_words bigint, doc_from bigint, item_from bigint"
-    found = None
-    for i in range(0, len(blocks), 8):
-        part = source.mapInArrow(_shards(blocks[i : i + 8], params), schema)
-        found = part if found is None else found.unionByName(part)
+    found = reduce(DataFrame.unionByName, [*done, search_in(blocks)])
     best = found.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", (-F.col("doc_from")).alias("d"), (-F.col("item_from")).alias("i"))).alias("b"))
     return best.select("doc_id", "item_id", "b.n_words", (-F.col("b.d")).alias("doc_from"), (-F.col("b.i")).alias("item_from"))
 

@@ -50,11 +50,27 @@ def test_matches_are_whole_across_groups_of_places():
     tests = L.Tests([(1, passage), (2, "x y z " + passage), (3, "a b " * 10)], 5)
     docs = [np.array([tests.vocabulary.get(w, 0) for w in t.split()], np.int32) for t in [passage + " none " + passage, "none " + passage, "a b " * 30]]
     whole = sorted(L.search(tests, docs, 5))
-    assert (1, 1, 60, 1, 0) in whole
+    assert whole == [(0, 1, 60, 0, 0), (0, 2, 60, 0, 3), (1, 1, 60, 1, 0), (1, 2, 60, 1, 3), (2, 3, 20, 0, 0)]
     for places in (1, 7, 100, 333):
         assert sorted(L.search(tests, docs, 5, places)) == whole
 
 
+def test_a_repeated_word_keeps_the_longest_match():
+    tests = L.Tests([(1, "a " * 2013), (2, "b " + "a " * 500 + "c")], 13)
+    a = tests.vocabulary["a"]
+    docs = [np.full(5000, a, np.int32), np.array([tests.vocabulary["b"], *[a] * 500, tests.vocabulary["c"]], np.int32)]
+    got = {(d, i): n for d, i, n, _, _ in L.search(tests, docs, 13)}
+    assert got == {(0, 1): 2013, (0, 2): 500, (1, 1): 500, (1, 2): 502}  # over ten million places
+
+
+def test_items_beyond_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCKS", 2)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(9)]
+    docs = [(d, "start " + items[d][1] + " end " + items[(d + 4) % 9][1]) for d in range(9)]
+    got = L.longest_matches(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string"), L.LeakParams(13, block_words=25))
+    assert {(r.doc_id, r.item_id, r.n_words) for r in got.collect()} == {(d, i, 20) for d in range(9) for i in (d, (d + 4) % 9)}
+
+
 def test_against_brute_force(spark):
     rng = random.Random(3)
     vocabulary = ["Alpha", "beta", "gamma", "δ", "42", "x"]
