@@ -32,6 +32,20 @@ def p1_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proportions.materialise(label_map, targets, written(proportions.plan(label_map, requests, targets)))
 
 
+def p1_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per head: windows drawn, windows drawn twice or outside their class, and categories that hold another number than planned."""
+    label_map, requests, targets = _p1_tables(spark, sf_dir)
+    plan = written(proportions.plan(label_map, requests, targets))
+    drawn = written(proportions.materialise(label_map, targets, plan))
+    most = proportions.availability(label_map, targets).select("head_taxid", "class_idx", "n_windows")
+    d = drawn.join(most, ["head_taxid", "class_idx"]).select("*", F.size("windows").alias("n"), (F.array_max("windows") >= F.col("n_windows")).alias("beyond"))
+    # rows of a class are ranges apart from each other and rise inside, so repeats would show in a row
+    d = d.withColumn("twice", F.size("windows") - F.size(F.array_distinct("windows")))
+    by = d.groupBy("head_taxid", F.coalesce("category", F.lit(proportions.OTHER)).alias("category")).agg(F.sum("n").alias("n"), (F.sum("twice") + F.count_if("beyond")).alias("wrong"))
+    j = plan.join(by, ["head_taxid", "category"], "left").fillna(0, ["n", "wrong"])
+    return j.groupBy("head_taxid").agg(F.sum("n").alias("drawn"), F.sum("wrong").alias("wrong"), F.count_if(F.col("n") != F.col("n_drawn")).alias("unlike_plan"))
+
+
 def p4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The box of every accession, or of each piece of one that is too long, for each container type."""
     return packing.pack(packing.current_lengths(table(spark, sf_dir, "accessions")), table(spark, sf_dir, "containers"))
@@ -110,7 +124,13 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p8_restored(spark, sf_dir).select("doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p4_found": p4_found, "p4_pack": p4_pack, "p4_fill": p4_fill, "p5_found": p5_found, "p5_splits": p5_splits, "p5_check": p5_check, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
+#: Places (from 0) at which a document and an item agree in 13 words.
+_MATCHES = """w AS (SELECT doc_id, regexp_extract_all(replace(lower(text), 'ς', 'σ'), '[\\p{L}\\p{N}]+') AS w FROM documents WHERE text IS NOT NULL), v AS (SELECT item_id, regexp_extract_all(replace(lower(text), 'ς', 'σ'), '[\\p{L}\\p{N}]+') AS w FROM eval_items WHERE text IS NOT NULL),
+g AS (SELECT item_id, q, array_to_string(w[q + 1:q + 13], ' ') AS g FROM (SELECT *, unnest(generate_series(0, len(w) - 13)) AS q FROM v WHERE len(w) >= 13)),
+h AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 13], ' ') AS g FROM (SELECT *, unnest(generate_series(0, len(w) - 13)) AS p FROM w WHERE len(w) >= 13)),
+pairs AS (SELECT doc_id, item_id, p, q FROM h JOIN g USING (g))"""
+
+QUERIES = {"p1_found": p1_found, "p1_plan": p1_plan, "p1_sample": p1_sample, "p1_check": p1_check, "p4_found": p4_found, "p4_pack": p4_pack, "p4_fill": p4_fill, "p5_found": p5_found, "p5_splits": p5_splits, "p5_check": p5_check, "p6_ids": p6_ids, "p6_decoded": p6_decoded, "p7_found": p7_found, "p7_matches": p7_matches, "p7_clean": p7_clean, "p8_found": p8_found, "p8_restored": p8_restored}
 ORACLE = {
     "p1_found": """
 WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
@@ -134,4 +154,14 @@ tie AS (SELECT DISTINCT a.t AS a, b.t AS b FROM keyed a JOIN keyed b ON a.k = b.
 reach(a, b) AS (SELECT a, b FROM tie UNION SELECT r.a, t.b FROM reach r JOIN tie t ON r.b = t.a)
 SELECT DISTINCT a AS taxid_a, b AS taxid_b FROM reach WHERE a < b""",
     "p5_check": """SELECT true AS on_target, (SELECT count(DISTINCT accession) FROM accessions WHERE accession IS NOT NULL) + (SELECT count(*) FROM plasmid_records) AS n_records, 0 AS torn_taxid, 0 AS torn_keys""",
+    "p1_check": """
+WITH current AS (SELECT DISTINCT ON (head_taxid, class_idx) * FROM label_map WHERE head_taxid IS NOT NULL ORDER BY head_taxid, class_idx, exported_at DESC NULLS LAST),
+have AS (SELECT head_taxid, sum(greatest(coalesce(n_windows, 0), 0)) AS n FROM current WHERE class_idx >= 0 GROUP BY 1), size AS (SELECT head_taxid, max(sample_size) AS size FROM sample_requests GROUP BY 1)
+SELECT head_taxid, CAST(least(coalesce(size, 0), coalesce(n, 0)) AS BIGINT) AS drawn, 0 AS wrong, 0 AS unlike_plan FROM (SELECT DISTINCT head_taxid FROM sample_targets WHERE head_taxid IS NOT NULL) LEFT JOIN have USING (head_taxid) LEFT JOIN size USING (head_taxid)""",
+    "p6_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
+    "p7_found": f"WITH {_MATCHES} SELECT DISTINCT doc_id, item_id FROM pairs",
+    "p7_matches": f"""WITH {_MATCHES}, isl AS (SELECT doc_id, item_id, q - p AS diag, q - row_number() OVER (PARTITION BY doc_id, item_id, q - p ORDER BY q) AS isle, p, q FROM pairs),
+runs AS (SELECT doc_id, item_id, count(*) + 12 AS n_words, min(p) AS doc_from, min(q) AS item_from FROM isl GROUP BY doc_id, item_id, diag, isle)
+SELECT DISTINCT ON (doc_id, item_id) doc_id, item_id, n_words, doc_from, item_from FROM runs ORDER BY doc_id, item_id, n_words DESC, doc_from, item_from""",
+    "p7_clean": f"WITH {_MATCHES} SELECT * FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM pairs)",
 }
