@@ -108,13 +108,23 @@ def pool_checks(s: SparkSession, d: str) -> DataFrame:
     return j.groupBy("head").agg(F.count_if(F.col("pool") == "near").alias("n_near"), F.count_if(F.col("pool") == "far").alias("n_far"), F.count_if(F.col("own") == 1).alias("inside"), (F.count(F.lit(1)) - F.count_distinct("leaf")).alias("repeated"))
 
 
+def _pool_budgets(s: SparkSession, d: str) -> DataFrame:
+    b = dq.reject_budgets(s, d)
+    return b.select("head", F.explode(F.array(F.struct(F.lit("near").alias("pool"), F.col("near").alias("budget")), F.struct(F.lit("far").alias("pool"), F.col("far").alias("budget")))).alias("x")).select("head", "x.pool", "x.budget")
+
+
 def reject_task_checks(s: SparkSession, d: str) -> DataFrame:
-    """Windows of each head and pool."""
-    return dq.reject_tasks(s, d).groupBy("head", "pool").agg(F.sum("n").alias("n"))
+    """Per head: pools that hold windows and yet don't meet their budget, or hold none and have tasks."""
+    pools = written(dq.near_far_pools(s, d))
+    room = pools.join(dq._leaves(s, d).select(F.col("header_id").alias("leaf"), "weight"), "leaf").groupBy("head", "pool").agg(F.sum("weight").alias("room"))
+    made = dq.reject_tasks(s, d, pools).groupBy("head", "pool").agg(F.sum("n").alias("n"))
+    j = _pool_budgets(s, d).join(room, ["head", "pool"], "left").join(made, ["head", "pool"], "left").fillna(0)
+    return j.groupBy("head").agg(F.count_if(F.col("n") != F.when(F.col("room") > 0, F.col("budget")).otherwise(0)).alias("unmet"))
 
 
 def reject_provenance_checks(s: SparkSession, d: str) -> DataFrame:
-    return dq.reject_provenance(s, d).select("head", "pool", "pool_leaves", "windows", F.round("realised_near_fraction", 6).alias("near_fraction"))
+    p = dq.reject_provenance(s, d).join(_pool_budgets(s, d), ["head", "pool"])
+    return p.select("head", "pool", "pool_leaves", F.col("windows").isin(F.lit(0), F.col("budget")).alias("met"))
 
 
 def dereplication_checks(s: SparkSession, d: str) -> DataFrame:
@@ -245,8 +255,8 @@ ORACLE = {
     "noisy_read_rates": "SELECT true AS as_long, 0 AS strange",
     "augmented_counts": "SELECT unnest(['train', 'val', 'test']) AS split, unnest([2, 1, 1]) AS times",
     "pool_checks": f"SELECT head, least(n_near, 1000) AS n_near, least(n_far, 1000) AS n_far, 0 AS inside, 0 AS repeated FROM ({_SIZES})",
-    "reject_task_checks": f"SELECT head, unnest(['near', 'far']) AS pool, unnest([near, far]) AS n FROM ({_BUDGETS}) WHERE near + far > 0",
-    "reject_provenance_checks": f"SELECT head, pool, pool_leaves, windows, near_fraction FROM (SELECT head, unnest(['near', 'far']) AS pool, unnest([least(n_near, 1000), least(n_far, 1000)]) AS pool_leaves, unnest([near, far]) AS windows, round(near / nullif(near + far, 0), 6) AS near_fraction FROM ({_BUDGETS}) JOIN ({_SIZES}) USING (head)) WHERE pool_leaves > 0",
+    "reject_task_checks": f"SELECT head, 0 AS unmet FROM ({_BUDGETS})",
+    "reject_provenance_checks": f"SELECT head, pool, pool_leaves, true AS met FROM (SELECT head, unnest(['near', 'far']) AS pool, unnest([least(n_near, 1000), least(n_far, 1000)]) AS pool_leaves FROM ({_SIZES})) WHERE pool_leaves > 0",
     "dereplication_checks": f"WITH {dq.SEQ} SELECT count(*) AS genomes, 0 AS alike, 0 AS unlike FROM seqs WHERE taxid IS NOT NULL",
     "holdout_members": f"""WITH {dq._HELD}, m AS (SELECT ancestor AS taxid, count(DISTINCT header_id) AS n_genomes, string_agg(DISTINCT header_id, ',' ORDER BY header_id) AS members FROM seqs JOIN nc ON seqs.taxid = nc.node_id GROUP BY 1),
       up AS (SELECT node_id, arg_min(ancestor, (distance, ancestor)) AS rho FROM nc WHERE distance > 0 AND node_id IN (SELECT node_id FROM held) AND ancestor NOT IN (SELECT node_id FROM held) GROUP BY 1)

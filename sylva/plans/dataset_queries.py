@@ -498,8 +498,8 @@ run AS (SELECT *, sum(raw) OVER (PARTITION BY child ORDER BY header_id) AS s, le
 alloc AS (SELECT child, header_id, length, CAST(CASE WHEN last THEN 500 ELSE least(500, s) END - least(500, s - raw) AS BIGINT) AS n FROM run)"""
 _COUNTS = "CASE WHEN {n} <= 0 THEN [0, 0, 0] WHEN {n} = 1 THEN [1, 0, 0] WHEN {n} = 2 THEN [1, 0, 1] WHEN {n} - greatest(1, CAST(floor({n} * 0.70::DOUBLE) AS BIGINT)) - greatest(1, CAST(floor({n} * 0.15::DOUBLE) AS BIGINT)) < 1 THEN [{n} - greatest(1, CAST(floor({n} * 0.15::DOUBLE) AS BIGINT)) - 1, greatest(1, CAST(floor({n} * 0.15::DOUBLE) AS BIGINT)), 1] ELSE [greatest(1, CAST(floor({n} * 0.70::DOUBLE) AS BIGINT)), greatest(1, CAST(floor({n} * 0.15::DOUBLE) AS BIGINT)), {n} - greatest(1, CAST(floor({n} * 0.70::DOUBLE) AS BIGINT)) - greatest(1, CAST(floor({n} * 0.15::DOUBLE) AS BIGINT))] END"
 _LEAFCLO = f"{PATHS}, {CLOSURE}, {INFO}, {SEQ}, lc AS (SELECT header_id AS leaf, ancestor, distance FROM seqs JOIN closure USING (taxid)), cnt AS (SELECT ancestor, count(DISTINCT leaf) AS n FROM lc GROUP BY 1)"
-_NEAR = f"""{_LEAFCLO}, up AS (SELECT DISTINCT a.ancestor AS head, b.ancestor AS anc, b.distance - a.distance AS up FROM lc a JOIN lc b USING (leaf) WHERE b.distance > a.distance AND a.ancestor IN (SELECT taxid FROM info WHERE m.rank IN ('genus', 'family', 'order'))),
-near AS (SELECT head, arg_min(anc, (up, anc)) AS near_root, arg_min(h.n - o.n, (up, anc)) AS n_near, (SELECT count(DISTINCT leaf) FROM lc) - arg_min(h.n, (up, anc)) AS n_far FROM up JOIN cnt h ON anc = h.ancestor JOIN cnt o ON head = o.ancestor WHERE h.n > o.n GROUP BY 1)"""
+_NEAR = f"""{_LEAFCLO}, up AS (SELECT a.ancestor AS head, b.ancestor AS anc, min(b.distance - a.distance) AS up, count(DISTINCT leaf) AS inside FROM lc a JOIN lc b USING (leaf) WHERE b.distance > a.distance AND a.ancestor IN (SELECT taxid FROM info WHERE m.rank IN ('genus', 'family', 'order')) GROUP BY 1, 2),
+near AS (SELECT head, arg_min(anc, (up, anc)) AS near_root, arg_min(h.n - inside, (up, anc)) AS n_near, (SELECT count(DISTINCT leaf) FROM lc) - arg_min(h.n + o.n - inside, (up, anc)) AS n_far FROM up JOIN cnt h ON anc = h.ancestor JOIN cnt o ON head = o.ancestor WHERE h.n > inside GROUP BY 1)"""
 _DEPTH = """kidc AS (SELECT parent_id, count(*) AS n FROM nodes WHERE parent_id IS NOT NULL GROUP BY 1), ups AS (SELECT node_id, min(ids[1:depth + 1]) AS up FROM pos GROUP BY 1),
 depths AS (SELECT f.node_id AS node_id, sum(CASE WHEN coalesce(k.n, 0) = 1 THEN 0 ELSE 1 END) AS dd FROM (SELECT node_id, unnest(up) AS a FROM ups) f LEFT JOIN kidc k ON f.a = k.parent_id GROUP BY 1),
 ratio AS (SELECT node_id, round(0.5 + 0.3 * least(1.0, greatest(0.0, (dd - 2) / 5.0)), 6) AS ratio FROM depths)"""

@@ -160,6 +160,19 @@ def test_near_and_far(spark):
     assert all(r["count"] == 1 for r in capped)
     sizes = {r["head"]: (r.n_near, r.n_far) for r in negatives.near_pool_sizes(heads, clo).collect()}
     assert sizes == {"a": (1, 1), "b": (1, 0)}
+    # a head with two parents holds a leaf that the nearer one lacks
+    dag = clo.unionByName(spark.createDataFrame([("l5", "a", 0), ("l5", "d", 1), ("l5", "r", 2)], "leaf string, ancestor string, distance int"))
+    sizes = {r["head"]: (r.near_root, r.n_near, r.n_far) for r in negatives.near_pool_sizes(heads, dag).collect()}
+    pools = {(r["head"], r.pool): r["count"] for r in negatives.near_far_pools(heads, dag).groupBy("head", "pool").count().collect()}
+    assert all(pools.get((h, "near"), 0) == n and pools.get((h, "far"), 0) == f for h, (_, n, f) in sizes.items()) and "r" not in sizes
+    # other domains: shallow heads only, capped with the far pool; the root's only negatives
+    deep = spark.createDataFrame([("a", 3), ("b", 2), ("r", 1)], "head string, depth int")
+    cross = spark.createDataFrame([(f"x{i}",) for i in range(9)], "leaf string")
+    p = negatives.RejectParams(max_per_pool=5, cross_domain_max_depth=2)
+    far = {}
+    for r in negatives.near_far_pools(deep, clo, p, cross).where("pool = 'far'").collect():
+        far.setdefault(r["head"], set()).add(r["leaf"])
+    assert far["a"] == {"l4"} and len(far["b"]) == 5 and len(far["r"]) == 5 and all(x.startswith("x") for x in far["b"] | far["r"])
     b = spark.createDataFrame([(10, 3, 3, 0.5), (10, 0, 3, 0.5), (10, 3, 0, 0.5), (0, 3, 3, 0.5), (5, 0, 0, 0.5), (5, 1, 1, 0.5)], "n bigint, a bigint, f bigint, r double")
     assert [tuple(r[0]) for r in b.select(negatives.reject_budget(F.col("n"), F.col("a"), F.col("f"), F.col("r"))).collect()] == [(5, 5), (0, 10), (10, 0), (0, 0), (0, 0), (2, 3)]
 
