@@ -9,11 +9,11 @@ import argparse
 import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sylva import tables
-from sylva.operators import audit, bucketing, negatives, openset
+from sylva.operators import audit, bucketing, hierarchy, negatives, openset
 from sylva.plans import pipeline
 from sylva.sources import predictions, registry, release, sequences
 
@@ -30,7 +30,8 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("output")
     for name, kind, default in (("min-len", int, 100), ("max-len", int, 2000), ("max-n-per-class", int, 20000), ("min-num-seqs", int, 1000), ("cutoff", float, 98.0), ("min-leaves", int, 3), ("min-subclades", int, 5), ("mutation-rate", float, 0.0), ("holdout-fraction", float, 0.0), ("binary-budget", int, 20000), ("seed", int, 42)):
         g.add_argument(f"--{name}", type=kind, default=default)
-    g.add_argument("--domain")
+    g.add_argument("--domain", help="taxids, shortcuts or names, with commas between; all for the whole catalogue")
+    g.add_argument("--reject-cross-domain-depth", type=int, default=0, help="heads up to this depth also reject accessions marked cross_domain")
     g.add_argument("--noise")
     g.add_argument("--mapping")
     g.add_argument("--stop-at")
@@ -81,17 +82,23 @@ def _parser() -> argparse.ArgumentParser:
 def _generate(spark: SparkSession, a: argparse.Namespace) -> None:
     acc, lin, seq = pipeline.catalogue_tables(spark, a.catalogue)
     mapping = registry.read_json_config(a.mapping, optional=True) if a.mapping else {}
+    names = lin.select(F.explode("path").alias("x")).select("x.taxid", "x.name")
+    roots = [hierarchy.resolve_root(x, names) for x in a.domain.split(",") if x.strip()] if a.domain else [None]
+    if None in roots and len(roots) > 1:
+        raise SystemExit("all excludes other domains")
     p = pipeline.GenerateParams(
-        domain=a.domain, min_len=a.min_len, max_len=a.max_len, noise=registry.noise_rules(a.noise), scope=registry.scope_of(mapping, a.domain) if a.domain and mapping else None, all_ranks=a.all_ranks, approximate_capacity=a.approximate_capacity,
+        domain=None if roots == [None] else ",".join(roots), min_len=a.min_len, max_len=a.max_len, noise=registry.noise_rules(a.noise), scopes=tuple(registry.scope_of(mapping, x) for x in roots if x and mapping), all_ranks=a.all_ranks, approximate_capacity=a.approximate_capacity,
         balance=bucketing.BalanceParams(a.min_subclades, a.min_leaves, a.rare_taxa, a.min_num_seqs, a.cutoff, a.max_n_per_class), keep_imbalance=a.keep_imbalance, stop_at=a.stop_at, single_level=a.single_level, cluster_aware=a.cluster_aware, dereplicate=a.dereplicate,
-        reject=negatives.RejectParams(a.seed, fraction=a.reject_fraction, depth_span=a.reject_depth_span) if a.reject_fraction else None, mutation_rate=a.mutation_rate, holdout_clades=tuple(x for x in a.holdout_clades.split(",") if x),
+        reject=negatives.RejectParams(a.seed, fraction=a.reject_fraction, depth_span=a.reject_depth_span, cross_domain_max_depth=a.reject_cross_domain_depth) if a.reject_fraction else None, mutation_rate=a.mutation_rate, holdout_clades=tuple(x for x in a.holdout_clades.split(",") if x),
         holdout_rank=a.holdout_rank, holdout_fraction=a.holdout_fraction, binary_budget=a.binary_budget, seed=a.seed,
     )
     out = pipeline.generate(acc, lin, seq, p, binary=a.binary_only)
     predictions.write_samples(out.samples, f"{a.output}/samples", a.format)
-    for name, t in (("classes", out.classes), ("reliability", out.reliability), ("label_maps", out.label_maps), ("manifest", out.manifest)):
+    for name, t in (("classes", out.classes), ("reliability", out.reliability), ("manifest", out.manifest), ("run_metadata", audit.run_metadata(spark, vars(a)))):
         if t is not None:
             t.write.mode("overwrite").json(f"{a.output}/{name}")
+    if out.label_maps is not None:
+        tables.write_table(out.label_maps, f"{a.output}/label_maps")
     if not a.binary_only:
         audit.run_statistics(out.classes.join(out.tree.nodes.select(F.col("node_id").alias("head"), F.col("rank").alias("head_rank")), "head", "left").drop("rank").withColumnRenamed("head_rank", "rank")).write.mode("overwrite").json(f"{a.output}/run_statistics")
         audit.accession_snapshot(acc).write.mode("overwrite").json(f"{a.output}/snapshot")
@@ -118,6 +125,14 @@ def _discover(spark: SparkSession, a: argparse.Namespace) -> None:
     tables.write_table(found, path)
 
 
+def _enrich(spark: SparkSession, dataset: str, report: DataFrame, name: str) -> None:
+    """The report becomes a column of the dataset's label maps, replaced in one step; datasets of binary heads have none."""
+    path = f"{dataset}/label_maps"
+    if tables.table_exists(spark, path):
+        maps = tables.read_table(spark, path).withColumn("head", F.col("head").cast("string"))
+        tables.write_table(audit.enrich(maps, report.withColumn("head", F.col("head").cast("string")), name), path)
+
+
 def _benchmark(spark: SparkSession, a: argparse.Namespace) -> None:
     if a.task == "build-eval":
         acc, lin, seq = pipeline.catalogue_tables(spark, a.catalogue)
@@ -137,6 +152,7 @@ def _benchmark(spark: SparkSession, a: argparse.Namespace) -> None:
         closure = lin.select(F.col("taxid").alias("node_id"), F.explode("path").alias("x")).select("node_id", F.col("x.taxid").alias("ancestor"))
         kept = openset.retained_leaves(leaves, closure, spark.read.json(a.manifest).select(F.col("taxid").alias("node_id")))
         openset.reference_lines(kept, seq).write.mode("overwrite").text(a.output)
+        openset.reference_map(kept, seq).write.mode("overwrite").text(f"{a.output}.map")
     elif a.task == "parse-baseline":
         ranks = openset.rank_map(tables.read_table(spark, f"{a.catalogue}/lineage"))
         lines = spark.read.text(a.lines).select("value", F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("at"))
@@ -160,6 +176,7 @@ def main(argv: list[str] | None = None) -> int:
         ranks = spark.read.json(f"{a.dataset}/classes").select(F.col("head").cast("string").alias("head"), "class_idx", F.col("rank").startswith("virtual_").alias("is_virtual"))
         c = audit.audit(audit.composition(s.withColumn("head", F.col("head").cast("string"))).join(ranks, ["head", "class_idx"]))
         predictions.write_report(c, a.report, "json")
+        _enrich(spark, a.dataset, audit.composition_summary(c), "composition_audit")
     elif a.verb == "separability":
         s = spark.read.parquet(f"{a.dataset}/samples").withColumn("head", F.col("head").cast("string"))
         rows = []
@@ -168,7 +185,10 @@ def main(argv: list[str] | None = None) -> int:
             train, test = one.where("split = 'train'"), one.where("split = 'test'")
             if train.limit(1).count() and test.limit(1).count():
                 rows.append(json.dumps({"head": h} | audit.separability(train, test, a.k)))
-        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.mode("overwrite").text(a.report)
+        lines = spark.createDataFrame([(r,) for r in rows], "value string")
+        lines.coalesce(1).write.mode("overwrite").text(a.report)
+        report = lines.select(F.from_json("value", "head string, k int, classifier string, n_train_sampled bigint, n_test bigint, test_accuracy double, test_f1_macro double, chance_accuracy double, accuracy_lift double").alias("r")).select("r.*")
+        _enrich(spark, a.dataset, report, "kmer_separability")
     else:
         _benchmark(spark, a)
     return 0

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import json
+import platform
+from collections.abc import Mapping
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sylva import __version__
 from sylva.functions.ids import hash_order
 from sylva.functions.sequence import gc_fraction
 
@@ -159,6 +164,29 @@ def accession_snapshot(accessions: DataFrame) -> DataFrame:
     return a.select(F.size("a").cast("bigint").alias("n_accessions"), F.sha2(F.array_join("a", "\n").cast("binary"), 256).alias("digest"))
 
 
+def enrich(label_maps: DataFrame, report: DataFrame, name: str) -> DataFrame:
+    """Label maps with a head's row of ``report`` as the column ``name``, replacing an older one; heads without a report keep what they have."""
+    new = report.select("head", F.struct(*[c for c in report.columns if c != "head"]).alias("__new"))
+    j = label_maps.join(new, "head", "left")
+    old = F.col(name).cast(new.schema["__new"].dataType) if name in label_maps.columns else F.lit(None).cast(new.schema["__new"].dataType)
+    return j.withColumn(name, F.coalesce("__new", old)).drop("__new")
+
+
+def composition_summary(audited: DataFrame) -> DataFrame:
+    """Per head: ``n_classes, n_virtual, n_flagged, flagged`` (class indices), and the mean and deviation of GC over its canonical classes."""
+    gc = F.when(~F.col("is_virtual"), F.col("gc_mean"))
+    return audited.groupBy("head").agg(
+        F.count(F.lit(1)).alias("n_classes"), F.count_if("is_virtual").alias("n_virtual"), F.count_if("flagged").alias("n_flagged"), F.array_sort(F.collect_list(F.when(F.col("flagged"), F.col("class_idx")))).alias("flagged"),
+        F.avg(gc).alias("canonical_gc_mean"), F.stddev_pop(gc).alias("canonical_gc_std"),
+    )
+
+
+def run_metadata(spark: SparkSession, parameters: Mapping[str, object]) -> DataFrame:
+    """One row: versions of what the run used and its parameters as JSON."""
+    versions = {"python": platform.python_version(), "spark": spark.version, "pandas": pd.__version__, "numpy": np.__version__, "package": __version__}
+    return spark.createDataFrame([(versions, json.dumps(parameters, default=str, sort_keys=True))], "versions map<string, string>, parameters string")
+
+
 def merge_manifests(existing: DataFrame, produced: DataFrame, key: str) -> DataFrame:
     """All keys of both; a produced row replaces the existing one as a whole."""
     kept = existing.join(produced.select(key), key, "left_anti")

@@ -26,6 +26,12 @@ class BalanceParams:
     max_n_per_class: int = 20_000
 
 
+def leaf_counts(children: DataFrame, closure: DataFrame) -> DataFrame:
+    """``head, child, n_leaves``: distinct sequences under each child, by ``closure(leaf, ancestor)``; a child without any has 0."""
+    n = closure.groupBy(F.col("ancestor").alias("child")).agg(F.count_distinct("leaf").alias("n_leaves"))
+    return children.select("head", "child").join(n, "child", "left").select("head", "child", F.coalesce("n_leaves", F.lit(0)).alias("n_leaves"))
+
+
 def modal_rank(children: DataFrame) -> DataFrame:
     """``head, canonical_rank``: the most frequent rank of unprotected children; the rank seen first wins ties. Heads with protected children only have no row."""
     counts = children.where(~is_protected("rank")).groupBy("head", F.coalesce("rank", F.lit("")).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("first"))

@@ -69,6 +69,12 @@ def reference_lines(leaves: DataFrame, sequences: DataFrame) -> DataFrame:
     return j.select(F.concat(F.lit(">"), "header_id", F.lit("|kraken:taxid|"), "node_id", F.lit("\n"), "seq").alias("value"))
 
 
+def reference_map(leaves: DataFrame, sequences: DataFrame) -> DataFrame:
+    """The map beside the exported records: a line ``header<tab>taxid`` for each of them."""
+    j = leaves.join(sequences.where("seq <> ''").select("header_id"), "header_id", "left_semi")
+    return j.select(F.concat_ws("\t", "header_id", "node_id").alias("value"))
+
+
 def outcome(lineage: Column | str, rho: Column | str, rho_rank: Column | str, pred: Column | str, pred_rank: Column | str) -> Column:
     """How a prediction relates to the expected commit: ``lineage`` is an array of taxids from leaf to root. Null or empty predictions abstain."""
     lineage, rho, rho_rank, pred, pred_rank = (F.col(x) if isinstance(x, str) else x for x in (lineage, rho, rho_rank, pred, pred_rank))

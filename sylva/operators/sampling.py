@@ -70,7 +70,7 @@ def placed_window(p: DrawParams, law: Column, length: Column, n: Column, i: Colu
 
 #: Windows of a tiled task that are cut in one row: what a row holds is bounded, whatever the task's budget.
 BLOCK = 2048
-#: Draws for each window wanted of a short sequence before it counts as exhausted.
+#: A short sequence with no more than this many windows for each wanted has all of them listed; of others, as many are drawn.
 TRIES = 50
 _COMPLEMENT = str.maketrans(IUPAC, COMPLEMENT)
 
@@ -91,25 +91,39 @@ def _numbers(key: int, what: int, n: int, first: int = 0) -> np.ndarray:
         return _mixed(np.arange(first, first + n, dtype=np.uint64) + salt)
 
 
-def unique_windows(seq: str, n: int, p: DrawParams, key: int) -> list[str]:
-    """n different windows at random places, each followed by its reverse complement as long as windows are wanted.
+def _candidates(length: int, n: int, p: DrawParams, key: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(start, end)`` of windows in the order in which draws with repeats left out would meet them: a length first, all alike, then a place.
 
-    What came out before is drawn again, at most ``TRIES`` x n times; fewer than n come out only of a sequence that holds hardly more.
+    Where a sequence holds few windows all are listed, each with its place in a race whose rates are the chances of being drawn; so an exhausted sequence
+    costs no more than its windows. Otherwise at most ``TRIES`` x n are drawn, of which a fiftieth are repeats at most.
     """
+    sizes = np.arange(p.min_len, min(p.max_len, length) + 1)
+    places = length - sizes + 1
+    total = int(places.sum())
+    if total <= TRIES * n:
+        size = np.repeat(sizes, places)
+        start = np.arange(total) - np.repeat(np.cumsum(places) - places, places)
+        race = -np.log((_numbers(key, 1, total) + 1.0) / 2.0**64) * np.repeat(places, places)
+        order = np.argsort(race, kind="stable")
+        return start[order], (start + size)[order]
+    some = 2 * n + 64
+    size = sizes[(_numbers(key, 1, some) % np.uint64(len(sizes))).astype(np.int64)]
+    start = (_numbers(key, 2, some) % (length - size + 1).astype(np.uint64)).astype(np.int64)
+    return start, start + size
+
+
+def unique_windows(seq: str, n: int, p: DrawParams, key: int) -> list[str]:
+    """n different windows at random places, each followed by its reverse complement as long as windows are wanted; fewer only of a sequence that holds no more."""
+    other = "".join([c if c in IUPAC else "N" for c in seq])[::-1].translate(_COMPLEMENT)
     made: dict[str, None] = {}
-    at, tries, most = 0, TRIES * n, min(p.max_len, len(seq))
-    while at < tries and len(made) < n:
-        some = min(max(64, n), tries - at)
-        size = (p.min_len + _numbers(key, 1, some, at) % np.uint64(most - p.min_len + 1)).astype(np.int64)
-        start = (_numbers(key, 2, some, at) % (len(seq) - size + 1).astype(np.uint64)).astype(np.int64)
-        at += some
-        for a, b in zip(start.tolist(), (start + size).tolist(), strict=True):
-            w = seq[a:b]
-            made[w] = None
-            if len(made) < n:
-                made["".join([c if c in IUPAC else "N" for c in w])[::-1].translate(_COMPLEMENT)] = None
-            if len(made) >= n:
-                break
+    length = len(seq)
+    start, end = _candidates(length, n, p, key)
+    for a, b in zip(start.tolist(), end.tolist(), strict=True):
+        made[seq[a:b]] = None
+        if len(made) < n:
+            made[other[length - b : length - a]] = None
+        if len(made) >= n:
+            break
     return list(made)
 
 

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 
 from sylva.functions import sketch
 from sylva.functions.sequence import reverse_complement
-from sylva.operators import openset, sampling, similarity, splitting, windows
+from sylva.operators import audit, openset, sampling, selection, similarity, splitting, windows
 from sylva.plans import base
 from sylva.plans import dataset_queries as dq
 from sylva.plans import hierarchy_queries as hq
 from sylva.session import shared_dir, table, written
-from sylva.sources import predictions, registry
+from sylva.sources import predictions, registry, release
 
 
 def _split_checks(rows: DataFrame, whole: DataFrame) -> DataFrame:
@@ -230,11 +230,61 @@ def predictions_file(s: SparkSession, d: str) -> DataFrame:
     return predictions.read_predictions(s, path)
 
 
+def reference_map(s: SparkSession, d: str) -> DataFrame:
+    q = base.sequences(s, d)
+    kept = openset.retained_leaves(q.select("header_id", F.col("taxid").alias("node_id")).where("node_id is not null"), dq._node_closure(s, d), dq._held(s, d))
+    return openset.reference_map(kept, q.select("header_id", "seq"))
+
+
+def reference_sample(s: SparkSession, d: str) -> DataFrame:
+    """The first hundred reference assemblies, of reports made of the catalogue."""
+    a = base.accessions(s, d).select("accession", F.struct(F.when(F.coalesce("is_reference", F.lit(False)), "Chromosome").otherwise("Contig").alias("assembly_level")).alias("assembly_info"))
+    return release.reference_sample(a, 100).select("accession")
+
+
+def download_estimate(s: SparkSession, d: str) -> DataFrame:
+    return selection.preflight(base.accessions(s, d))
+
+
+def _targets(s: SparkSession, d: str) -> DataFrame:
+    return base.info(s, d).where("rank in ('genus', 'family')").select(F.col("taxid").alias("label"), F.lit(20_000_000).alias("target"))
+
+
+def selected_downloads(s: SparkSession, d: str) -> DataFrame:
+    """Per label whether what is downloaded or to be fetched reaches its target, or all it has is taken."""
+    a = selection.selective_download(base.accessions(s, d), base.lineages(s, d), _targets(s, d))
+    c = selection.credited(a, base.lineages(s, d)).join(_targets(s, d), "label")
+    have = F.coalesce("downloaded", F.lit(False))
+    left = F.coalesce("download_deferred", F.lit(False)) & ~have & (F.coalesce("download_attempts", F.lit(0)) < selection.MAX_ATTEMPTS)
+    size = F.coalesce("length", F.lit(0))
+    got = F.sum(F.when(have | ~F.coalesce("download_deferred", F.lit(False)), size).otherwise(0))
+    return c.groupBy("label").agg(((got >= F.max("target")) | (F.count_if(left) == 0)).alias("served"))
+
+
+def refined_downloads(s: SparkSession, d: str) -> DataFrame:
+    """Accessions deferred after refinement, where labels turn out to hold half of what their sizes promise; none of a label that is still short."""
+    lin, targets = base.lineages(s, d), _targets(s, d)
+    first = written(selection.selective_download(base.accessions(s, d), lin, targets))
+    size = F.when(~F.coalesce("download_deferred", F.lit(False)), F.coalesce("length", F.lit(0))).otherwise(0)
+    measure = lambda now: selection.credited(now, lin).groupBy("label").agg(F.floor(F.sum(size) / 2).cast("bigint").alias("capacity"))
+    last = selection.refine(first, lin, targets, measure)
+    left = selection.credited(last.where("download_deferred"), lin).groupBy("label").agg(F.count(F.lit(1)).alias("left"))
+    return selection.shortfalls(measure(last), targets).join(left, "label").agg(F.count(F.lit(1)).alias("short_with_deferred"))
+
+
+def composition_enriched(s: SparkSession, d: str) -> DataFrame:
+    """Label maps of the heads with their audit."""
+    c = audit.composition(dq._class_seqs(s, d)).withColumn("is_virtual", F.col("class_idx").cast("bigint") % 2 == 0)
+    maps = base.paths(s, d).select(F.get("ids", F.lit(0)).alias("head")).distinct()
+    e = audit.enrich(maps, audit.composition_summary(audit.audit(c)), "composition_audit")
+    return e.select("head", "composition_audit.n_classes", "composition_audit.n_virtual", "composition_audit.n_flagged", F.size("composition_audit.flagged").alias("n_listed"), F.round("composition_audit.canonical_gc_mean", 6).alias("gc_mean"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         class_split_checks, negative_split_checks, genome_split_repaired, slice_sample_counts, samples_are_windows, substitution_counts, exact_reads, noisy_read_rates, augmented_counts, pool_checks, reject_task_checks, reject_provenance_checks,
-        dereplication_checks, holdout_members, evaluation_read_checks, capacity_error, ani_proxies, catalogue_document, catalogue_lineages, catalogue_taxa, reconciled_catalogue, capacity_cache, sample_sink, predictions_file,
+        dereplication_checks, holdout_members, evaluation_read_checks, capacity_error, ani_proxies, catalogue_document, catalogue_lineages, catalogue_taxa, reconciled_catalogue, capacity_cache, sample_sink, predictions_file, reference_map, reference_sample, download_estimate, selected_downloads, refined_downloads, composition_enriched,
     )
 }
 _GENOMES = "gn AS (SELECT child, count(DISTINCT substr(header_id, 1, 8)) AS genomes, CAST(sum(n) AS BIGINT) AS n FROM alloc WHERE n > 0 GROUP BY 1)"
@@ -273,4 +323,13 @@ ORACLE = {
       SELECT label AS taxid, 100 AS min_len, CAST(sum(length) AS BIGINT) AS capacity FROM credited WHERE length > 0 AND label NOT IN (SELECT taxid FROM up WHERE taxid IS NOT NULL) GROUP BY 1""",
     "sample_sink": f"WITH {dq._CLS} SELECT head, CASE class_idx % 3 WHEN 0 THEN 'train' WHEN 1 THEN 'val' ELSE 'test' END AS split, class_idx, CASE WHEN class_idx % 3 = 1 THEN upper(name) ELSE name END AS seq FROM cls",
     "predictions_file": f"WITH {dq._READS} SELECT read_id, CASE WHEN length(pt) % 2 = 1 THEN pt END AS predicted_taxid, nullif(trim(pr), '') AS predicted_rank FROM pd",
+    "reference_map": f"WITH {dq._HELD} SELECT header_id || chr(9) || taxid AS value FROM seqs WHERE taxid IS NOT NULL AND taxid NOT IN (SELECT node_id FROM nc WHERE ancestor IN (SELECT node_id FROM held))",
+    "reference_sample": f"WITH {dq.ACC} SELECT accession FROM acc WHERE is_reference ORDER BY accession LIMIT 100",
+    "download_estimate": f"""WITH {dq.ACC}, p AS (SELECT count(*) AS n, coalesce(sum(greatest(coalesce(length, 0), 0)), 0) AS raw FROM acc WHERE {hq._PENDING})
+      SELECT n AS n_accessions, CAST(raw AS BIGINT) AS raw_bytes, CAST(floor(raw * 1.5) AS BIGINT) AS store_bytes, CAST(floor(raw * 3.0) AS BIGINT) AS spill_bytes, CAST(floor(raw * 0.05::DOUBLE) AS BIGINT) AS output_bytes,
+      round(raw / 20e6, 3) AS download_seconds_best, round(raw / 5e6, 3) AS download_seconds_worst, round(raw / 20e6, 3) AS analysis_seconds_best, round(raw / 2e6, 3) AS analysis_seconds_worst, round(n * 0.2::DOUBLE, 3) AS build_seconds_best, round(n * 1.0::DOUBLE, 3) AS build_seconds_worst FROM p""",
+    "selected_downloads": f"WITH {hq._CREDIT}, {dq.INFO} SELECT DISTINCT label, true AS served FROM credited WHERE label IN (SELECT taxid FROM info WHERE m.rank IN ('genus', 'family'))",
+    "refined_downloads": "SELECT 0 AS short_with_deferred",
+    "composition_enriched": f"""WITH {dq._AUDIT}, h AS (SELECT DISTINCT ids[1] AS head FROM paths), a AS (SELECT head, count(*) AS n_classes, count(*) FILTER (is_virtual) AS n_virtual, count(*) FILTER (flagged) AS n_flagged FROM audit GROUP BY 1),
+      g AS (SELECT head, round(avg(CASE WHEN NOT is_virtual THEN gc_mean END), 6) AS gc_mean FROM v GROUP BY 1) SELECT h.head AS head, n_classes, n_virtual, n_flagged, n_flagged AS n_listed, gc_mean FROM h LEFT JOIN a USING (head) LEFT JOIN g USING (head)""",
 }

@@ -55,7 +55,9 @@ def virtual_id_collisions(s: SparkSession, d: str) -> DataFrame:
 
 
 def leaf_counts(s: SparkSession, d: str) -> DataFrame:
-    return _tree_children(s, d).select("child", F.coalesce("n_leaves", F.lit(0)).alias("n_leaves"))
+    """Distinct sequences below each child."""
+    kids = hq.hierarchy_nodes(s, d).where("parent_id is not null").select(F.col("parent_id").alias("head"), F.col("node_id").alias("child"))
+    return bucketing.leaf_counts(kids, _leaf_closure(s, d)).select("child", "n_leaves")
 
 
 def rare_partition(s: SparkSession, d: str) -> DataFrame:
@@ -540,7 +542,7 @@ ORACLE = {
     "modal_rank": f"WITH {_MODAL} SELECT * FROM modal",
     "rank_buckets": f"WITH {_BUCKETS} SELECT head, CAST(class_idx AS VARCHAR) AS child, CASE WHEN purpose IS NOT NULL THEN {_VID.format('head || chr(58) || purpose')} END AS bucket_id, CASE WHEN purpose = 'misc' THEN 'virtual_misc' WHEN purpose IS NOT NULL THEN 'virtual_' || rank END AS bucket_rank FROM p",
     "virtual_id_collisions": f"WITH {_BUCKETS}, v AS (SELECT DISTINCT substr({_VID.format('head || chr(58) || purpose')}, 1, 4) AS virtual_id, head, purpose FROM p WHERE purpose IS NOT NULL) SELECT virtual_id, count(*) AS n FROM v GROUP BY 1 HAVING count(*) > 1",
-    "leaf_counts": f"WITH {_CHILDREN} SELECT child, n_leaves FROM kids",
+    "leaf_counts": f"WITH {_LEAFCLO}, kids AS (SELECT DISTINCT unnest(ids[2:]) AS child FROM paths) SELECT child, coalesce(n, 0) AS n_leaves FROM kids LEFT JOIN cnt ON child = ancestor",
     "rare_partition": f"WITH {_CHILDREN} SELECT head, child, is_rare FROM rare",
     "balanced_plan": f"WITH {_PLAN} SELECT * FROM plan",
     "absorbing_buckets": f"""WITH {_PLAN}, ab AS (SELECT head, CASE status WHEN 'rare' THEN 'rare_taxa' ELSE status END AS purpose, child FROM plan WHERE status <> 'retained')

@@ -41,8 +41,7 @@ def pending_accessions(s: SparkSession, d: str) -> DataFrame:
 
 
 def scope_pending(s: SparkSession, d: str) -> DataFrame:
-    a = base.accessions(s, d).where(~F.coalesce("downloaded", F.lit(False)))
-    return a.join(base.lineages(s, d).where(hierarchy.in_scope("path", DOMAIN)).select("taxid"), "taxid", "left_semi").select("accession", "taxid")
+    return selection.scope_pending(base.accessions(s, d), base.lineages(s, d), DOMAIN).select("accession", "taxid")
 
 
 def rank_properties(s: SparkSession, d: str) -> DataFrame:

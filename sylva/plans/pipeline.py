@@ -21,7 +21,10 @@ from sylva.tables import read_table
 
 @dataclass(frozen=True)
 class GenerateParams:
-    """``domain`` None takes the whole catalogue. ``keep_imbalance`` gives each class its own capacity up to the cap."""
+    """``domain`` None takes the whole catalogue, several domains with commas between make a forest under one root, each with its own entry of ``scopes``.
+
+    ``keep_imbalance`` gives each class its own capacity up to the cap.
+    """
 
     domain: str | None = None
     min_len: int = 100
@@ -29,6 +32,7 @@ class GenerateParams:
     balance: bucketing.BalanceParams = field(default_factory=bucketing.BalanceParams)
     noise: hierarchy.NoiseRules = field(default_factory=hierarchy.NoiseRules)
     scope: hierarchy.Scope | None = None
+    scopes: tuple[hierarchy.Scope, ...] = ()
     all_ranks: bool = False
     approximate_capacity: bool = False
     keep_imbalance: bool = False
@@ -71,24 +75,53 @@ def node_closure(paths: DataFrame) -> DataFrame:
 def build_tree(accessions: DataFrame, lineages: DataFrame, sequences: DataFrame, p: GenerateParams) -> Tree:
     """The cleaned hierarchy over sequences that exist: noise left out, anchored at the domain, redirected, held-out subtrees not yet pruned."""
     lin = lineages.where(F.size("path") > 0).groupBy("taxid").agg(F.first("path").alias("path"))
-    paths = lin.where(hierarchy.in_scope("path", p.domain)).select("taxid", hierarchy.clean_path("path", "taxid", p.noise).alias("ids"))
-    if p.domain is not None:
-        paths = paths.withColumn("ids", hierarchy.anchor("ids", p.domain))
-    else:
-        paths = paths.withColumn("ids", F.concat(F.array(F.lit("root")), "ids"))
-    if p.scope is not None:
-        paths = paths.withColumn("ids", hierarchy.redirect("ids", p.scope, p.all_ranks))
+    domains = [x.strip() for x in p.domain.split(",") if x.strip()] if p.domain is not None else [None]
+    scopes = {s.domain: s for s in (*p.scopes, *((p.scope,) if p.scope else ()))}
+    paths, labels = forest(lin, domains, scopes, p), {k: v for s in scopes.values() for k, v in s.labels.items()}
     headers = accessions.where("taxid is not null").select("accession", "taxid", F.explode("headers").alias("h")).where("h.id is not null")
     found = sequences.select("header_id", F.length("seq").cast("bigint").alias("length")).where("length > 0")
     leaves = headers.select(F.col("h.id").alias("header_id"), F.col("taxid").alias("node_id"), splitting.genome_key("accession", F.col("h.id")).alias("genome_key")).groupBy("node_id", "header_id").agg(F.min("genome_key").alias("genome_key"))
     leaves = cut(leaves.join(found, "header_id").join(paths.select(F.col("taxid").alias("node_id")), "node_id", "left_semi"))
     used = cut(paths.join(leaves.select(F.col("node_id").alias("taxid")).distinct(), "taxid", "left_semi"))
     info = lin.select(F.explode("path").alias("x")).select("x.*").where("taxid is not null")
-    names = hierarchy.nodes(used, "ids", info, p.scope.labels if p.scope else None)
+    names = hierarchy.nodes(used, "ids", info, labels or None)
     clo = leaves.select(F.col("header_id").alias("leaf"), F.col("node_id").alias("taxid")).join(hierarchy.closure(used, "taxid"), "taxid").select("leaf", "ancestor", "distance")
     return Tree(used, cut(names), leaves, cut(clo), cut(node_closure(used)))
 
 
+def forest(lin: DataFrame, domains: list[str | None], scopes: dict[str, hierarchy.Scope], p: GenerateParams) -> DataFrame:
+    """``taxid, ids``: cleaned paths of each domain, anchored there and routed by its own scope; a root above them where there is no single domain.
+
+    A taxid that lies in several of the domains keeps the path of the first one named.
+    """
+    if not domains:
+        raise ValueError("no domain")
+    out = None
+    for i, domain in enumerate(domains):
+        one = lin.where(hierarchy.in_scope("path", domain)).select("taxid", F.lit(i).alias("o"), hierarchy.clean_path("path", "taxid", p.noise).alias("ids"))
+        if domain is not None:
+            one = one.withColumn("ids", hierarchy.anchor("ids", domain))
+            if domain in scopes:
+                one = one.withColumn("ids", hierarchy.redirect("ids", scopes[domain], p.all_ranks))
+        out = one if out is None else out.unionByName(one)
+    if len(domains) > 1:
+        out = out.groupBy("taxid").agg(F.min(F.struct("o", "ids")).alias("m")).select("taxid", F.col("m.ids").alias("ids"))
+    if len(domains) > 1 or domains[0] is None:
+        out = out.withColumn("ids", F.concat(F.array(F.lit("root")), "ids"))
+    return out.select("taxid", "ids")
+
+
+def cross_domain_leaves(accessions: DataFrame, sequences: DataFrame, tree: Tree) -> DataFrame | None:
+    """``leaf, genome_key, length`` of downloaded accessions marked cross_domain whose sequences lie outside the tree; None if the catalogue has no such mark."""
+    if "cross_domain" not in accessions.columns:
+        return None
+    marked = accessions.where(F.coalesce("cross_domain", F.lit(False)) & F.coalesce("downloaded", F.lit(False)))
+    h = marked.select("accession", F.explode("headers").alias("h")).where("h.id is not null").select(F.col("h.id").alias("leaf"), splitting.genome_key("accession", F.col("h.id")).alias("genome_key"))
+    found = sequences.select(F.col("header_id").alias("leaf"), F.length("seq").cast("bigint").alias("length")).where("length > 0")
+    out = h.groupBy("leaf").agg(F.min("genome_key").alias("genome_key")).join(found, "leaf")
+    return cut(out.join(tree.leaves.select(F.col("header_id").alias("leaf")), "leaf", "left_anti"))
+
+
 def without(tree: Tree, held: DataFrame) -> Tree:
     """The tree without held-out clades and everything under them."""
     gone = held.select(F.col("node_id").alias("taxid"))
@@ -175,17 +208,19 @@ def class_tasks(tree: Tree, cls: DataFrame, members: DataFrame, p: GenerateParam
     return allocation.allocate(rows, ["head", "child"], "weight", "budget", "header_id").where("n > 0").select("head", "child", "class_idx", "header_id", "genome_key", "n", "length")
 
 
-def reject_class(tree: Tree, cls: DataFrame, p: GenerateParams) -> tuple[DataFrame, DataFrame]:
-    """The reject class of every head and its tasks; near and far pools by decidable depth."""
+def reject_class(tree: Tree, cls: DataFrame, p: GenerateParams, cross: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """The reject class of every head and its tasks; near and far pools by decidable depth. Leaves of other domains (``cross``) go to shallow heads."""
     r = p.reject
-    heads = cls.groupBy("head").agg(F.max("class_idx").alias("last"), F.max("n_per_class").alias("n_per_class"))
-    pools = cut(negatives.near_far_pools(heads, tree.closure, r))
+    heads = cls.groupBy("head").agg(F.max("class_idx").alias("last"), F.max("n_per_class").alias("n_per_class")).join(tree.nodes.select(F.col("node_id").alias("head"), (F.col("depth") + 1).alias("depth")), "head")
+    pools = cut(negatives.near_far_pools(heads, tree.closure, r, cross))
     sizes = pools.groupBy("head").agg(F.count_if(F.col("pool") == "near").alias("n_near"), F.count_if(F.col("pool") == "far").alias("n_far"))
     depth = hierarchy.decidable_depth(tree.paths, tree.nodes).select(F.col("node_id").alias("head"), "decidable_depth")
     n = F.rint(F.col("n_per_class") * r.fraction).cast("bigint")
     b = heads.join(sizes, "head").join(depth, "head").select("head", "last", negatives.reject_budget(n, F.col("n_near"), F.col("n_far"), negatives.near_ratio("decidable_depth", r)).alias("b"))
     budgets = b.select("head", F.explode(F.array(F.struct(F.lit("near").alias("pool"), F.col("b.near").alias("budget")), F.struct(F.lit("far").alias("pool"), F.col("b.far").alias("budget")))).alias("x")).select("head", "x.pool", "x.budget")
     info = tree.leaves.groupBy(F.col("header_id").alias("leaf")).agg(F.min("genome_key").alias("genome_key"), F.max("length").alias("length"))
+    if cross is not None:
+        info = info.unionByName(cross)
     weighted = pools.join(info, "leaf").withColumn("weight", F.greatest(F.lit(0), F.col("length") - (p.min_len - 1)).cast("bigint"))
     made = negatives.reject_tasks(weighted, budgets).join(info, "leaf")
     ids = b.select("head", virtual_id("head", F.lit("reject")).alias("child"), (F.col("last") + 1).cast("int").alias("class_idx"))
@@ -272,7 +307,7 @@ def generate(accessions: DataFrame, lineages: DataFrame, sequences: DataFrame, p
         tasks = class_tasks(tree, cls, members, p)
         negative = None
         if p.reject is not None:
-            extra, negative = reject_class(tree, cls, p)
+            extra, negative = reject_class(tree, cls, p, cross_domain_leaves(accessions, sequences, tree) if p.reject.cross_domain_max_depth > 0 else None)
             cls = cls.unionByName(extra, allowMissingColumns=True)
         split = written(split_all(tasks, sequences, p, negative))
         n = split.groupBy("head", "class_idx").agg(F.sum("n").alias("n_windows"))

@@ -48,6 +48,12 @@ def report_rows(reports: DataFrame) -> DataFrame:
     )
 
 
+def reference_sample(reports: DataFrame, limit: int) -> DataFrame:
+    """At most ``limit`` reports of reference assemblies, the least accessions first; none for a limit of 0 or less. Repeated reports count once."""
+    good = reports.where(F.col("assembly_info.assembly_level").isin(*REFERENCE_LEVELS) & F.col("accession").isNotNull()).dropDuplicates(["accession"])
+    return good.orderBy("accession").limit(max(0, limit))
+
+
 def group_reports(reports: DataFrame) -> DataFrame:
     """``taxid, accessions``: the accessions reported for each taxon, sorted."""
     return report_rows(reports).groupBy("taxid").agg(F.array_sort(F.collect_set("accession")).alias("accessions"))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sylva import cli
-from sylva.operators import negatives, openset
+from sylva.operators import hierarchy, negatives, openset
 from sylva.operators.bucketing import BalanceParams
 from sylva.plans import pipeline
 
@@ -103,3 +103,22 @@ def test_open_set_loop_and_command_line(spark, catalogue, tmp_path):
     cli.main(["benchmark", "reliability", out, f"{tmp_path}/t.json", f"{tmp_path}/rel"])
     assert {r["head"]: r.verdict for r in spark.read.json(f"{tmp_path}/rel").collect()}["9"] == "noisy-metrics"
     _ = openset
+
+
+def test_forest_and_other_domains(spark, catalogue):
+    acc, lin, seq = pipeline.catalogue_tables(spark, catalogue)
+    rng = random.Random(5)
+    other = [("X1", "777", [("HX1", "n")], True, True), ("X2", "778", [("HX2", "n")], False, True)]  # the second isn't downloaded
+    acc = acc.withColumn("cross_domain", F.lit(False)).unionByName(spark.createDataFrame(other, "accession string, taxid string, headers array<struct<id: string, name: string>>, downloaded boolean, cross_domain boolean"))
+    seq = seq.unionByName(spark.createDataFrame([(h, "".join(rng.choice("ACGT") for _ in range(900))) for h in ("HX1", "HX2")], "header_id string, seq string"))
+    p = {**PARAMS, "domain": "0, 1", "reject": negatives.RejectParams(cross_domain_max_depth=1), "scopes": (hierarchy.Scope("0", {"00": "V0"}, None, {"V0": "routed"}),)}
+    out = pipeline.generate(acc, lin, seq, pipeline.GenerateParams(**p))
+    nodes = {r.node_id: r.parent_id for r in out.tree.nodes.collect()}
+    assert nodes["0"] == nodes["1"] == "root" and "2" not in nodes and "9" not in nodes and nodes["00"] == "V0"
+    heads = {r["head"] for r in out.classes.select("head").distinct().collect()}
+    assert {"root", "0", "1"} <= heads
+    reject = out.tasks.join(out.classes.where("rank = 'virtual_reject'").select("head", "class_idx"), ["head", "class_idx"])
+    by = {}
+    for r in reject.select("head", "header_id").distinct().collect():
+        by.setdefault(r["head"], set()).add(r.header_id)
+    assert by["root"] == {"HX1"} and all("HX1" not in v for h, v in by.items() if h != "root")
