@@ -87,8 +87,10 @@ def separability(train: DataFrame, test: DataFrame, k: int = 3, per_class: int =
     n_train, n_classes = fit.count(), fit.select("label").distinct().count()
     out = {"k": k, "classifier": "logistic_regression", "n_train_sampled": n_train, "n_test": n_test, "test_accuracy": None, "test_f1_macro": None, "chance_accuracy": None, "accuracy_lift": None}
     if n_classes < 2 or not n_test:
+        fit.unpersist()
         return out
     scored = LogisticRegression(maxIter=100, regParam=1e-4).fit(fit).transform(prep(test)).select("label", "prediction")
+    fit.unpersist()
     hits = scored.groupBy("label", "prediction").count().collect()  # at most classes squared
     total = sum(r["count"] for r in hits)
     labels = {r["label"] for r in hits} | {r["prediction"] for r in hits}

@@ -16,6 +16,10 @@ def local_session(app: str = "sylva", cores: str = "*", **conf: str) -> SparkSes
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.sql.ui.retainedExecutions", "20")  # plans of past queries fill the heap of a long session
+        .config("spark.ui.retainedJobs", "100")
+        .config("spark.ui.retainedStages", "100")
+        .config("spark.ui.retainedTasks", "1000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
