@@ -18,9 +18,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sylva.session import written
 from sylva.tables import hadoop, read_table, table_exists, write_table
 
 
@@ -149,10 +150,9 @@ def run_incremental(
     mark = lambda rows, is_open: write_table(marks.unionByName(rows.select("bucket", "n", "h1", "h2", F.lit(is_open).alias("open"), F.lit(n).alias("parts"))).coalesce(1), f"{store}/fingerprints")
     nothing = F.lit(0).cast("bigint")
     mark(todo.select("bucket", nothing.alias("n"), nothing.alias("h1"), nothing.alias("h2")), True)
-    seen = Observation()
-    out = process(fixed).hint("rebalance", "bucket").observe(seen, F.collect_set("bucket").alias("buckets"))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{store}/output")
-    filled = set(seen.get["buckets"])
+    out = written(process(fixed))  # made once; which partitions hold anything is read from it
+    out.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{store}/output")
+    filled = {r["bucket"] for r in out.select("bucket").distinct().collect()}  # at most the partitions handled
     names, fs, _ = hadoop(spark, store)
     for row in todo.toLocalIterator():  # partitions that come out empty: dynamic overwrite leaves them as they were
         if row["bucket"] not in filled:
