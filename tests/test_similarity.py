@@ -3,8 +3,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from sylva.operators import similarity
+from sylva.plans import dataset_queries as Q
 
 SIZE = 12
 
@@ -107,3 +109,15 @@ def test_dereplication_against_the_greedy_rule(sketched):
             rep = least.setdefault(tuple(of[k]), k) if of[k] else k
             kept[k] = kept[rep] if rep != k else min((a for (h, a, b) in near if h == g and b == k and kept[a] == a), default=k)
             assert got[(g, k)] == kept[k]
+
+
+def _plasmids(spark, folder, rows):
+    spark.createDataFrame(rows, "accession string, host_taxid string, sequence string").write.parquet(f"{folder}/plasmid_records.parquet")
+    return str(folder)
+
+
+def test_genome_clusters_have_no_bound(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(similarity, "cluster_genomes", lambda df, group, key, p: seen.append(p) or df.select(group, key, F.col(key).alias("cluster"), F.lit(0.0).alias("threshold")))
+    Q.genome_clusters(spark, _plasmids(spark, tmp_path, [("p1", "7", "ACGTACGTACGT")]))
+    assert seen[0].max_genomes is None
