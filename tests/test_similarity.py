@@ -116,6 +116,19 @@ def _plasmids(spark, folder, rows):
     return str(folder)
 
 
+def test_genome_components_tie_equal_sketches(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(11)
+    seqs = ["".join(rng.choice("ACGT") for _ in range(80)) for _ in range(3)]
+    d = _plasmids(spark, tmp_path, [("p1", "7", seqs[0]), ("p2", "7", seqs[0]), ("p3", "7", seqs[1]), ("p4", "7", seqs[1][:70]), ("p5", "7", seqs[1]), ("p6", "7", seqs[2]), ("p7", "8", seqs[0])])
+    got = {(r.taxid, r.component, r.n) for r in Q.genome_components(spark, d).collect()}
+    assert got == {("7", "p1", 2), ("7", "p3", 3), ("7", "p6", 1), ("8", "p7", 1)}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW plasmid_records AS FROM read_parquet('{d}/plasmid_records.parquet/*.parquet')")
+    assert set(con.execute(f"SELECT taxid, component, n FROM ({Q.ORACLE['genome_components']})").fetchall()) == got
+
+
 def test_genome_clusters_have_no_bound(spark, tmp_path, monkeypatch):
     seen = []
     monkeypatch.setattr(similarity, "cluster_genomes", lambda df, group, key, p: seen.append(p) or df.select(group, key, F.col(key).alias("cluster"), F.lit(0.0).alias("threshold")))
