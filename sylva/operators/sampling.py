@@ -180,16 +180,36 @@ def _another(chars: np.ndarray, codes: np.ndarray, draw: np.ndarray) -> np.ndarr
 
 
 def substituted(text: str, rate: float, key: int) -> str:
-    """round(length x rate) places, drawn without repeats; bases there become one of the three others, other letters stay."""
-    k = min(len(text), round(len(text) * rate))
-    if k <= 0:
-        return text
-    chars, codes = _codes(text)
-    at = np.argsort(_numbers(key, 1, len(chars)), kind="stable")[:k]
-    at = at[codes[at] >= 0]
+    return substituted_all([text], rate, np.array([key]))[0]
+
+
+def substituted_all(texts: list[str | None], rate: float, keys: np.ndarray) -> list[str | None]:
+    """Of each text round(length x rate) places, drawn without repeats by its key; bases there become one of the three others, other letters stay.
+
+    Texts of one length are drawn for together: short ones cost more in calls than in work otherwise.
+    """
+    lengths = np.array([0 if t is None else len(t) for t in texts], np.int64)
+    ends = np.cumsum(lengths)
+    chars, codes = _codes("".join([t for t in texts if t is not None]))
     out = chars.copy()
-    out[at] = _another(chars[at], codes[at], _numbers(key, 2, len(chars))[at])
-    return _text(out)
+    keys = keys.astype(np.int64).view(np.uint64)
+    one, two = (_mixed(keys ^ np.uint64(what << 56)) for what in (1, 2))
+    for length in np.unique(lengths).tolist():
+        k = min(length, round(length * rate))
+        if k <= 0:
+            continue
+        rows = np.flatnonzero(lengths == length)
+        with np.errstate(over="ignore"):
+            draw = _mixed(np.arange(length, dtype=np.uint64) + one[rows, None])
+            place = np.argmin(draw, axis=1)[:, None] if k == 1 else np.argsort(draw, axis=1, kind="stable")[:, :k]
+            other = _mixed(place.astype(np.uint64) + two[rows, None]).ravel()
+        at = (ends[rows] - length)[:, None] + place
+        at = at.ravel()
+        base = codes[at] >= 0
+        at, other = at[base], other[base]
+        out[at] = _another(chars[at], codes[at], other)
+    made = _text(out)
+    return [None if t is None else made[e - n : e] for t, e, n in zip(texts, ends.tolist(), lengths.tolist(), strict=True)]
 
 
 def substitute(seq: Column | str, rate: float, seed: int, *ids: Column) -> Column:
@@ -200,14 +220,19 @@ def substitute(seq: Column | str, rate: float, seed: int, *ids: Column) -> Colum
 
     @F.pandas_udf("string")
     def change(text: pd.Series, key: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else substituted(t, rate, int(k)) for t, k in zip(text, key, strict=True)], dtype=object)
+        return pd.Series(substituted_all([t if isinstance(t, str) else None for t in text], rate, key.to_numpy()), dtype=object)
 
     return change(s, F.xxhash64(F.lit(seed), F.lit("sub"), *ids))
 
 
 def augment_train(samples: DataFrame, rate: float, seed: int = 42) -> DataFrame:
-    """Training samples once more with substitutions, appended; other splits stay as they are."""
-    return samples.unionByName(samples.where("split = 'train'").withColumn("seq", substitute("seq", rate, seed, F.col("head"), F.col("header_id"), F.col("i"))))
+    """Training samples once more with substitutions, appended; other splits stay as they are. Samples are drawn once."""
+    if rate <= 0:
+        return samples.unionByName(samples.where("split = 'train'"))
+    train = F.coalesce(F.col("split") == "train", F.lit(False))
+    other = substitute(F.when(train, F.col("seq")), rate, seed, F.col("head"), F.col("header_id"), F.col("i"))
+    both = samples.withColumn("__o", other).withColumn("__s", F.explode(F.when(train, F.array("seq", "__o")).otherwise(F.array("seq"))))
+    return both.withColumn("seq", F.col("__s")).drop("__o", "__s")
 
 
 @dataclass(frozen=True)
